@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripengine.operators.joins import join_groups, small_side
-from tripengine.session import materialise
 
 BUCKETS = 1024  # a power of two
 SKETCH_ACCURACY = 10_000
@@ -49,10 +48,10 @@ def exact_quantiles(
         F.col("value").isNotNull()
     )
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = materialise(
-        values.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY).alias("cuts"))
-    )
-    bucketed = values.withColumn("bucket", _bucket("value", cuts.scalar()))
+    # fetched once (fewer than BUCKETS numbers), so that every use sees the same
+    found = values.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY)).first()[0]
+    cuts = F.split(F.lit(",".join(map(str, found or []))), ",").try_cast("array<double>")
+    bucketed = values.withColumn("bucket", _bucket("value", cuts))
 
     # at most BUCKETS rows per group
     per_group = Window.partitionBy(*by)

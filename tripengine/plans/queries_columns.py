@@ -260,7 +260,7 @@ def cleaned_trips(spark, sf):
     )
 
 
-_CLEANED_OUT = ", ".join(f"round({c}, 4) AS {c}" for c in ROUNDED)
+_CLEANED_OUT = ", ".join(f"round({c}, 6) AS {c}" for c in ROUNDED)
 
 
 @query("cleaned_trips", with_tables(f"""
@@ -272,7 +272,7 @@ FROM cleaned""", *CLEANED_TABLES))
 def cleaned(spark, sf):
     texts = ["pickup_datetime", "dropoff_datetime"]
     return cleaned_trips(spark, sf).withColumns({
-        **{c: F.round(c, 4) for c in ROUNDED},
+        **{c: F.round(c, 6) for c in ROUNDED},
         **{c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in texts},
         "pickup_date": F.col("pickup_date").cast("string"),
     })
@@ -321,11 +321,11 @@ _FEATURES_ROUNDED = ["total_amount", "trip_duration", "temp", "distance_km"]
 
 @query("feature_table", with_tables(f"""
 WITH {FEATURES_SQL}
-SELECT * REPLACE ({", ".join(f"round({c}, 4) AS {c}" for c in _FEATURES_ROUNDED)})
+SELECT * REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in _FEATURES_ROUNDED)})
 FROM features""", *CLEANED_TABLES))
 def features(spark, sf):
     return stored_features(spark, sf).withColumns(
-        {c: F.round(c, 4) for c in _FEATURES_ROUNDED}
+        {c: F.round(c, 6) for c in _FEATURES_ROUNDED}
     )
 
 
@@ -333,12 +333,12 @@ def features(spark, sf):
 WITH {FEATURES_SQL}
 SELECT {", ".join(c for c in schemas.MODEL_COLUMNS
                   if c not in ("total_amount", "trip_duration", "payment_type"))},
-       CAST(payment_type AS INTEGER) AS payment_type, round(total_amount, 4) AS total_amount,
-       round(trip_duration, 4) AS trip_duration
+       CAST(payment_type AS INTEGER) AS payment_type, round(total_amount, 6) AS total_amount,
+       round(trip_duration, 6) AS trip_duration
 FROM features""", *CLEANED_TABLES))
 def model_rows(spark, sf):
     return model_table(stored_features(spark, sf)).withColumns(
-        {c: F.round(c, 4) for c in ("total_amount", "trip_duration")}
+        {c: F.round(c, 6) for c in ("total_amount", "trip_duration")}
     )
 
 
