@@ -33,7 +33,7 @@ def forest_importance(
 ):
     """Random-forest importances, and the fitted model."""
     model = RandomForestRegressor(
-        featuresCol=features, labelCol=label, numTrees=trees, seed=SEED, maxBins=64
+        featuresCol=features, labelCol=label, numTrees=trees, seed=SEED
     ).fit(df)
     scores = model.featureImportances.toArray()
     return _scores(df.sparkSession, names, scores, column), model
@@ -44,7 +44,7 @@ def boosting_importance(
     iterations: int = 50, column: str = "gbt_importance",
 ) -> DataFrame:
     model = GBTRegressor(
-        featuresCol=features, labelCol=label, maxIter=iterations, seed=SEED, maxBins=64
+        featuresCol=features, labelCol=label, maxIter=iterations, seed=SEED
     ).fit(df)
     return _scores(df.sparkSession, names, model.featureImportances.toArray(), column)
 
@@ -114,23 +114,14 @@ def permutation_importance(
         )
         return F.struct(F.lit(names[i]).alias("feature"), vector.alias("values"))
 
-    variants = F.array(
-        F.struct(F.lit(None).cast("string").alias("feature"), F.col("own").alias("values")),
-        *[swapped(i) for i in range(len(names))],
-    )
-    # the plain row rides along, so that both predictions meet in one row
-    scored = model.transform(
-        paired.select(F.col("own"), F.explode(F.slice(variants, 2, len(names))).alias("v"))
-        .select("v.feature", "own", array_to_vector("v.values").alias(features))
-    ).withColumnRenamed("prediction", "changed").drop(features)
-    both = model.transform(
-        scored.withColumn(features, array_to_vector("own"))
-    )
-    means = both.groupBy("feature").agg(
-        F.mean(F.abs(F.col("prediction") - F.col("changed"))).alias(column)
-    )
-    total = means.agg(F.sum(column)).first()[0]
-    return means.withColumn(column, F.try_divide(F.col(column), F.lit(total)))
+    variants = paired.select(
+        "own", F.explode(F.array(*[swapped(i) for i in range(len(names))])).alias("variant")
+    ).select("variant.feature", "own", array_to_vector("variant.values").alias(features))
+    changed = model.transform(variants).withColumnRenamed("prediction", "changed").drop(features)
+    both = model.transform(changed.withColumn(features, array_to_vector("own")))
+    change = F.mean(F.abs(F.col("prediction") - F.col("changed")))
+    found = dict(both.groupBy("feature").agg(change).collect())  # a row per feature
+    return _scores(df.sparkSession, names, [found[n] for n in names], column)
 
 
 RANKINGS = [

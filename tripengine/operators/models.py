@@ -133,6 +133,11 @@ def best_params(model: PipelineModel, names: Sequence[str]) -> dict[str, str]:
     return {name: str(last.getOrDefault(name)) for name in names}
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Kept while several models read it; lost blocks are computed again."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _board_row(encoding, name, params, validation, predictions, label) -> tuple:
     m = metrics(predictions, label).first()
     return (encoding, name, params, validation, m["r2"], m["mae"], m["rmse"])
@@ -148,15 +153,14 @@ def leaderboard(
     With ``folds`` each pair is cross-validated and ``validation_r2`` filled.
     The encoding is fitted once per encoding where no folds are asked for.
     """
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = _kept(train), _kept(test)
     rows = []
     for encoding in encodings:
         stages, features = encoding_stages(encoding, categorical, numeric, label)
         if folds is None:
             encoder = Pipeline(stages=stages).fit(train)
-            encoded = encoder.transform(train).select(features, label).persist(
-                StorageLevel.MEMORY_AND_DISK)
-            held_out = encoder.transform(test).select(features, label)
+            encoded = _kept(encoder.transform(train).select(features, label))
+            held_out = _kept(encoder.transform(test).select(features, label))
         for name in models:
             model = regressor(name, features, label)
             if folds is None:
@@ -168,7 +172,9 @@ def leaderboard(
             rows.append(_board_row(encoding, name, {}, validation, predictions, label))
         if folds is None:
             encoded.unpersist()
+            held_out.unpersist()
     train.unpersist()
+    test.unpersist()
     return spark.createDataFrame(rows, LEADERBOARD)
 
 
@@ -178,7 +184,7 @@ def tune(
     grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Tune models over their grids; a row per model and the best pipelines."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = _kept(train), _kept(test)
     rows, best = [], {}
     for name in models:
         pipeline = regression_pipeline(name, encoding, categorical, numeric, label)
@@ -193,6 +199,7 @@ def tune(
         predictions = search.bestModel.transform(test)
         rows.append(_board_row(encoding, name, params, float(validation), predictions, label))
     train.unpersist()
+    test.unpersist()
     return spark.createDataFrame(rows, LEADERBOARD), best
 
 
@@ -200,7 +207,5 @@ def cluster_points(df: DataFrame, columns: Sequence[str], k: int = 10, seed: int
     """k-means on coordinate columns; rows with a missing coordinate are left out."""
     points = assemble(columns).transform(
         df.dropna(subset=list(columns)).withColumns({c: F.col(c).cast("double") for c in columns})
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    model = KMeans(k=k, seed=seed).fit(points)
-    clustered = model.transform(points).drop("features")
-    return clustered
+    )
+    return KMeans(k=k, seed=seed).fit(points).transform(points).drop("features")

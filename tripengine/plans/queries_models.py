@@ -7,6 +7,8 @@ their rows and by the tests.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -242,7 +244,7 @@ def str_01(spark, sf):
     lines = tv.read(spark, sf, "lineitem")
     sink = scratch(spark, "scored")
     arriving = score_arriving(
-        spark, model, f"{sf}/lineitem.parquet", lines.schema, sink,
+        spark, model, f"{sf}/lineitem.parquet*", lines.schema, sink,
         scratch(spark, "progress"),
         prepare=lambda df: tv.trips(spark, sf, *KEYS, "payment_type", lines=df),
         output=[*KEYS, "prediction"],
@@ -343,11 +345,16 @@ def tun_04(spark, sf):
 # importance and tests -----------------------------------------------------
 
 
-def _importance_frame(spark, sf):
+@contextmanager
+def importance_frame(spark, sf):
+    """Encoded and scaled trips with their feature names, kept for several fits."""
     pipeline, names = encode.importance_inputs(schemas.CATEGORICAL, schemas.NUMERIC, LABEL)
     df = model_rows(spark, sf).drop(*KEYS)
-    prepared = pipeline.fit(df).transform(df)
-    return prepared.select("features", LABEL, *names).persist(), names
+    prepared = pipeline.fit(df).transform(df).select("features", LABEL, *names).persist()
+    try:
+        yield prepared, names
+    finally:
+        prepared.unpersist()
 
 
 def _rounded(df, column):
@@ -356,49 +363,48 @@ def _rounded(df, column):
 
 @query("imp_01_forest_importance")
 def imp_01(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    scores, _ = importance.forest_importance(df, names, LABEL)
-    return _rounded(scores, "rf_importance")
+    with importance_frame(spark, sf) as (df, names):
+        return _rounded(importance.forest_importance(df, names, LABEL)[0], "rf_importance")
 
 
 @query("imp_02_boosting_importance")
 def imp_02(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    return _rounded(importance.boosting_importance(df, names, LABEL), "gbt_importance")
+    with importance_frame(spark, sf) as (df, names):
+        return _rounded(importance.boosting_importance(df, names, LABEL), "gbt_importance")
 
 
 @query("imp_03_lasso_importance")
 def imp_03(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    return _rounded(importance.lasso_importance(df, names, LABEL), "lasso_importance")
+    with importance_frame(spark, sf) as (df, names):
+        return _rounded(importance.lasso_importance(df, names, LABEL), "lasso_importance")
 
 
 @query("imp_04_ranked_features")
 def imp_04(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    return _rounded(importance.ranked_elimination(df, names, LABEL), "rfe_score")
+    with importance_frame(spark, sf) as (df, names):
+        return _rounded(importance.ranked_elimination(df, names, LABEL), "rfe_score")
 
 
 @query("imp_05_permutation_importance")
 def imp_05(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    _, model = importance.forest_importance(df, names, LABEL, trees=10)
-    found = importance.permutation_importance(df, model, names)
-    return _rounded(found, "permutation_importance")
+    with importance_frame(spark, sf) as (df, names):
+        _, model = importance.forest_importance(df, names, LABEL, trees=10)
+        found = importance.permutation_importance(df, model, names)
+        return _rounded(found, "permutation_importance")
 
 
 @query("imp_06_merged_importance")
 def imp_06(spark, sf):
-    df, names = _importance_frame(spark, sf)
-    forest, model = importance.forest_importance(df, names, LABEL, trees=10)
-    merged = importance.merged_importance({
-        "rf_importance": forest,
-        "gbt_importance": importance.boosting_importance(df, names, LABEL, iterations=5),
-        "lasso_importance": importance.lasso_importance(df, names, LABEL),
-        "rfe_score": importance.ranked_elimination(df, names, LABEL, trees=10),
-        "permutation_importance": importance.permutation_importance(df, model, names),
-    })
-    return _rounded(merged, "average_importance")
+    with importance_frame(spark, sf) as (df, names):
+        forest, model = importance.forest_importance(df, names, LABEL, trees=10)
+        merged = importance.merged_importance({
+            "rf_importance": forest,
+            "gbt_importance": importance.boosting_importance(df, names, LABEL, iterations=5),
+            "lasso_importance": importance.lasso_importance(df, names, LABEL),
+            "rfe_score": importance.ranked_elimination(df, names, LABEL, trees=10),
+            "permutation_importance": importance.permutation_importance(df, model, names),
+        })
+        return _rounded(merged, "average_importance")
 
 
 def _chi_square_sql(columns, label):
