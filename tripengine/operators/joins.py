@@ -1,9 +1,9 @@
 """Dimension joins, key checks and merges of small tables.
 
-Dimensions read from files carry a size that Spark knows, so Spark itself
-broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
-beyond it, splitting hot keys. ``small_side`` is for derived tables, whose
-size Spark can only guess before they have run.
+No join carries a broadcast hint. Dimensions read from files have a size that
+Spark knows, so it broadcasts them below ``spark.sql.autoBroadcastJoinThreshold``
+and shuffles beyond it, splitting hot keys. Derived tables are written first
+(``materialise``), after which the same holds for them.
 """
 
 from __future__ import annotations
@@ -16,29 +16,6 @@ from pyspark.sql import functions as F
 
 from tripengine.session import materialise
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def small_side(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Materialise a derived table and mark it for broadcast if it is small.
-
-    Rows and bytes are measured; a table beyond either bound comes back
-    without the mark and is joined by shuffle.
-    """
-    df = materialise(df)
-    size = (
-        df.limit(max_rows + 1)
-        .select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes"))
-        .agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"))
-        .first()
-    )
-    fits = size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-    return F.broadcast(df) if fits else df
-
-
 def join_role(
     fact: DataFrame, dim: DataFrame, key: str, fact_key: str, attributes: Mapping[str, str]
 ) -> DataFrame:
@@ -160,7 +137,7 @@ def encode_with_means(
     """Replace nothing, add ``<column>_target_mean`` fitted on ``train`` to all."""
     frames = [train, *others]
     for column in columns:
-        means = small_side(category_means(train, column, target))
+        means = materialise(category_means(train, column, target), "means")
         name = f"{column}_target_mean"
         frames = [attach_means(df, means, column, name) for df in frames]
     return frames

@@ -8,26 +8,33 @@ by value. The cut points affect the balance alone, never the result.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripengine.operators.joins import join_groups, small_side
+from tripengine.operators.joins import join_groups
+from tripengine.session import materialise
 
-BUCKETS = 1024  # a power of two
+BUCKETS = 1024
 SKETCH_ACCURACY = 10_000
 
 
-def _bucket(value: str, cuts: Column) -> Column:
-    """Number of cut points at or below the value, by binary search."""
-    steps = [2 ** i for i in reversed(range(BUCKETS.bit_length() - 1))]
+def _constant_array(numbers: Iterable[float]) -> Column:
+    """Many numbers as one constant, without an expression for each."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").try_cast("array<double>")
 
-    def narrow(below: Column, step: Column) -> Column:
-        ahead = below + step
-        return F.when(F.get(cuts, ahead - 1) <= F.col(value), ahead).otherwise(below)
 
-    return F.reduce(F.lit(steps), F.lit(0), narrow)
+def _range_buckets(values: DataFrame, cuts: Iterable[float]) -> DataFrame:
+    """Add ``bucket``, the number of distinct cut points at or below ``value``."""
+    inner = sorted({c for c in cuts if math.isfinite(c)})
+    ends = [-math.inf, *inner, math.inf]
+    return Bucketizer(
+        splits=ends if inner else [-math.inf, 0.0, math.inf],
+        inputCol="value", outputCol="bucket", handleInvalid="keep",
+    ).transform(values)
 
 
 def exact_quantiles(
@@ -47,11 +54,10 @@ def exact_quantiles(
     values = df.select(*by, F.col(column).cast("double").alias("value")).filter(
         F.col("value").isNotNull()
     )
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
+    steps = _constant_array(i / BUCKETS for i in range(1, BUCKETS))
     # fetched once (fewer than BUCKETS numbers), so that every use sees the same
     found = values.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY)).first()[0]
-    cuts = F.split(F.lit(",".join(map(str, found or []))), ",").try_cast("array<double>")
-    bucketed = values.withColumn("bucket", _bucket("value", cuts))
+    bucketed = _range_buckets(values, found or [])
 
     # at most BUCKETS rows per group
     per_group = Window.partitionBy(*by)
@@ -81,12 +87,14 @@ def exact_quantiles(
         ]
 
     wanted = [r for name, p in quantiles.items() for r in ranks(name, p)]
-    targets = (
+    # two rows per group and quantile
+    targets = materialise(
         totals.withColumn("target", F.explode(F.array(*wanted)))
         .select(*by, "bucket", "before", "n", "target.*")
         .withColumn("offset", F.col("rank") - F.col("before"))
         .filter((F.col("offset") >= 0) & (F.col("offset") < F.col("n")))
-        .filter(F.col("weight") > 0)
+        .filter(F.col("weight") > 0),
+        "ranks",
     )
 
     # at most BUCKETS numbers: rows of all other buckets are not shuffled
@@ -157,8 +165,8 @@ def iqr_bounds(
 
 def outliers(df: DataFrame, column: str, bounds: DataFrame) -> DataFrame:
     """Rows outside one row of bounds."""
-    lower, upper = bounds.select("lower").scalar(), bounds.select("upper").scalar()
-    return df.filter((F.col(column) < lower) | (F.col(column) > upper))
+    limits = bounds.select(F.struct("lower", "upper")).scalar()
+    return df.filter((F.col(column) < limits["lower"]) | (F.col(column) > limits["upper"]))
 
 
 def cap_upper(df: DataFrame, column: str, bounds: DataFrame) -> DataFrame:
@@ -178,8 +186,8 @@ def box_numbers(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame
     wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     box = exact_quantiles(df, column, wanted, by)
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    box = small_side(
-        box.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
+    box = materialise(
+        box.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach}), "box"
     )
     rows = df.select(*by, F.col(column).alias("value")).filter(F.col("value").isNotNull())
     value = F.col("value")

@@ -54,6 +54,7 @@ from tripengine.plans.queries_joins import ZONED_SQL, zoned_trips
 from tripengine.plans.queries_tables import BOUNDS_SQL, BUCKET_SQL
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
+from tripengine.session import materialise
 
 
 def rounded(df, digits, *columns):
@@ -307,7 +308,9 @@ SELECT pickup_borough, round(avg(fare_amount), 4) AS avg_fare,
        quantile_disc(fare_amount, 0.5) AS median_fare
 FROM zoned GROUP BY 1""", "trips", "zones"))
 def agg_20(spark, sf):
-    df = zoned_trips(spark, sf, "fare_amount").select("pickup_borough", "fare_amount")
+    df = materialise(
+        zoned_trips(spark, sf, "fare_amount").select("pickup_borough", "fare_amount")
+    )
     means = df.groupBy("pickup_borough").agg(F.round(F.avg("fare_amount"), 4).alias("avg_fare"))
     medians = exact_quantiles(
         df, "fare_amount", {"median_fare": 0.5}, ["pickup_borough"], interpolate=False
@@ -330,9 +333,9 @@ SELECT CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, pickup_borough,
        quantile_disc(fare_amount, 0.5) AS median_fare
 FROM zoned GROUP BY 1, 2""", "trips", "zones"))
 def agg_21(spark, sf):
-    df = zoned_trips(spark, sf, "pickup_datetime", "fare_amount").select(
+    df = materialise(zoned_trips(spark, sf, "pickup_datetime", "fare_amount").select(
         F.hour("pickup_datetime").alias("pickup_hour"), "pickup_borough", "fare_amount"
-    )
+    ))
     return exact_quantiles(
         df, "fare_amount", {"median_fare": 0.5}, ["pickup_hour", "pickup_borough"],
         interpolate=False,
@@ -354,7 +357,7 @@ SELECT payment_type, round(avg(fare_amount), 4) AS average_fare,
        round(median(fare_amount), 4) AS median_fare, round(sum(fare_amount), 2) AS total_fare
 FROM trips GROUP BY 1""", "trips"))
 def agg_22(spark, sf):
-    df = tv.trips(spark, sf, "payment_type", "fare_amount")
+    df = materialise(tv.trips(spark, sf, "payment_type", "fare_amount"))
     sums = df.groupBy("payment_type").agg(
         F.round(F.avg("fare_amount"), 4).alias("average_fare"),
         F.round(F.sum("fare_amount"), 2).alias("total_fare"),

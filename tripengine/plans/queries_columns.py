@@ -39,7 +39,7 @@ from tripengine.plans.queries_joins import (
 )
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
-from tripengine.session import scratch
+from tripengine.session import materialise, scratch
 from tripengine.sources.files import read_stage, write_stage
 
 
@@ -349,9 +349,11 @@ SELECT pickup_borough, count(*) AS trips, round(avg(fare_amount), 4) AS average_
 FROM zoned WHERE trip_duration > 0 GROUP BY 1""", "trips", "zones"))
 def fares_by_borough(spark, sf):
     """Trips of positive duration: mean, median and total fare by pickup borough."""
-    df = zoned_trips(spark, sf, "fare_amount", "trip_duration").filter(
-        F.col("trip_duration") > 0
-    ).select("pickup_borough", "fare_amount")
+    df = materialise(
+        zoned_trips(spark, sf, "fare_amount", "trip_duration")
+        .filter(F.col("trip_duration") > 0)
+        .select("pickup_borough", "fare_amount")
+    )
     sums = df.groupBy("pickup_borough").agg(
         F.count("*").alias("trips"),
         F.round(F.avg("fare_amount"), 4).alias("average_fare"),

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripengine import schemas
-from tripengine.functions.calendar import duration_minutes
 
 DAY_SECONDS = 86_400
 
@@ -40,10 +39,11 @@ def trips(
     df = read(spark, sf_dir, "lineitem") if lines is None else lines
     if wanted & _FROM_ORDERS:
         orders = read(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+        if wanted & _FROM_CUSTOMER:
+            # joined to the orders first, so that the lines are shuffled once for both
+            customer = read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+            orders = orders.join(customer, "o_custkey", "left")
         df = df.join(orders, "l_orderkey", "left")
-    if wanted & _FROM_CUSTOMER:
-        customer = read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-        df = df.join(customer, "o_custkey", "left")
     if wanted & _FROM_SUPPLIER:
         supplier = read(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
         df = df.join(supplier, "l_suppkey", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on.
 SETTINGS = {
@@ -50,9 +50,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df):
-    """Cut the lineage of a small derived table with a reliable checkpoint."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def materialise(df: DataFrame, name: str = "derived") -> DataFrame:
+    """Write a derived table once and read it back.
+
+    This cuts its lineage, and Spark then knows its true size: it broadcasts
+    the table below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it
+    beyond, where the estimate of an unwritten table could be far off.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
