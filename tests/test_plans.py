@@ -36,7 +36,7 @@ def test_cleaning_drops_copies_nulls_and_other_years(spark):
         (*DAY, 1, 2, None, 3.0, 10.0),
         ("2022-12-31 23:50:00", "2023-01-01 00:10:00", 1, 2, 1, 3.0, 10.0),
     )
-    out = cleaned.clean(cleaned.ingest(trips), 2023)
+    out = cleaned.clean(trips, 2023)
     assert out.count() == 1 and len(out.columns) == 24
     row = out.first()
     assert row.fare_amount == 1234.57 and row.trip_duration == 30.0
@@ -56,9 +56,9 @@ def dims(spark):
 
 
 def test_enriching_keeps_the_row_count_and_yields_39_columns(spark):
-    trips = cleaned.clean(cleaned.ingest(raw(
+    trips = cleaned.clean(raw(
         spark, (*DAY, 1, 2, 1, 3.0, 10.0), (*DAY, 1, 1, 2, 3.0, 10.0), (*DAY, 1, 264, 2, 3.0, 10.0),
-        (*DAY, 9, 1, 2, 3.0, 11.0))))
+        (*DAY, 9, 1, 2, 3.0, 11.0)))
     out = cleaned.enrich(trips, *dims(spark))
     assert out.count() == 3 and len(out.columns) == 39
     by = {(r.PULocationID, r.DOLocationID): r for r in out.collect()}

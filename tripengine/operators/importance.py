@@ -96,9 +96,9 @@ def permutation_importance(
     first. One shuffle serves all features, and nothing is joined.
     """
     buckets = max(1, df.count() // rows_per_bucket)
-    values = vector_to_array(F.col(features))
-    thrown = df.select(
-        values.alias("own"),
+    thrown = model.transform(df).select(
+        vector_to_array(features).alias("own"),
+        F.col("prediction").alias("plain"),
         F.floor(F.rand(SEED) * buckets).alias("bucket"),
         F.rand(SEED + 1).alias("place"),
     )
@@ -115,12 +115,12 @@ def permutation_importance(
         return F.struct(F.lit(names[i]).alias("feature"), vector.alias("values"))
 
     variants = paired.select(
-        "own", F.explode(F.array(*[swapped(i) for i in range(len(names))])).alias("variant")
-    ).select("variant.feature", "own", array_to_vector("variant.values").alias(features))
-    changed = model.transform(variants).withColumnRenamed("prediction", "changed").drop(features)
-    both = model.transform(changed.withColumn(features, array_to_vector("own")))
-    change = F.mean(F.abs(F.col("prediction") - F.col("changed")))
-    found = dict(both.groupBy("feature").agg(change).collect())  # a row per feature
+        "plain", F.inline(F.array(*[swapped(i) for i in range(len(names))]))
+    ).withColumn(features, array_to_vector("values"))
+    change = F.mean(F.abs(F.col("prediction") - F.col("plain")))
+    found = dict(  # a row per feature
+        map(tuple, model.transform(variants).groupBy("feature").agg(change).collect())
+    )
     return _scores(df.sparkSession, names, [found[n] for n in names], column)
 
 

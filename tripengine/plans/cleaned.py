@@ -47,18 +47,22 @@ def ingest(raw: DataFrame) -> DataFrame:
 
 
 def clean(trips: DataFrame, year: int | None = None) -> DataFrame:
-    """Distinct complete trips with calendar columns, of one year if given."""
+    """Distinct complete trips with duration and calendar parts, of one year if given.
+
+    Copies are dropped before columns are derived, so that the shuffle this
+    takes moves the source columns alone.
+    """
     names = {"tpep_pickup_datetime": "pickup_datetime",
              "tpep_dropoff_datetime": "dropoff_datetime"}
-    df = trips.withColumnsRenamed(names)
+    df = trips
     if year is not None:
-        df = df.filter(in_year("pickup_datetime", year) & in_year("dropoff_datetime", year))
-    df = df.dropna()
+        for ts in names:
+            df = df.filter(in_year(ts, year))
+    df = ingest(df.dropna().dropDuplicates()).withColumnsRenamed(names)
     if "month" in df.columns:
         df = df.withColumn("Month_Num", two_digits("month")).drop("month")
     else:
         df = df.withColumn("Month_Num", F.month("pickup_datetime"))
-    df = df.dropDuplicates()
     df = calendar_parts(df, "pickup_datetime", "pickup", ["month"])
     df = calendar_parts(df, "dropoff_datetime", "dropoff")
     return df.withColumns({

@@ -28,7 +28,6 @@ from tripengine.plans.cleaned import (
     clean,
     enrich,
     feature_table,
-    ingest,
     model_table,
 )
 from tripengine.plans.queries_joins import (
@@ -254,9 +253,10 @@ ROUNDED = [
 def cleaned_trips(spark, sf):
     """The 39-column table, from raw trips to weather."""
     return enrich(
-        clean(ingest(tv.raw_trips(spark, sf))),
-        tv.zones(spark, sf), tv.centroids(spark, sf), tv.holidays(spark, sf),
-        tv.weather(spark, sf),
+        clean(tv.raw_trips(spark, sf)),
+        tv.zones(spark, sf), tv.centroids(spark, sf),
+        materialise(tv.holidays(spark, sf), "holidays"),
+        materialise(tv.weather(spark, sf), "weather"),
     )
 
 

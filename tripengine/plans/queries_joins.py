@@ -20,6 +20,7 @@ from tripengine.plans import tripview as tv
 from tripengine.plans.queries_tables import LOCATED_SQL, located_trips
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
+from tripengine.session import materialise
 
 KEYS = ["order_key", "line_number"]
 
@@ -87,7 +88,7 @@ def join_03(spark, sf):
     trips = tv.trips(spark, sf, *KEYS, "pickup_datetime").withColumn(
         "pickup_date", F.to_date("pickup_datetime")
     )
-    return flag_calendar(trips, tv.holidays(spark, sf)).select(
+    return flag_calendar(trips, materialise(tv.holidays(spark, sf), "holidays")).select(
         *KEYS, "holidayName", "normalizeHolidayName", "is_holiday"
     )
 
@@ -100,7 +101,7 @@ def join_04(spark, sf):
     trips = tv.trips(spark, sf, *KEYS, "dropoff_datetime").withColumn(
         "dropoff_date", F.to_date("dropoff_datetime")
     )
-    return join_daily(trips, tv.weather(spark, sf), "dropoff_date").select(
+    return join_daily(trips, materialise(tv.weather(spark, sf), "weather"), "dropoff_date").select(
         *KEYS, F.round("temp", 6).alias("temp")
     )
 
@@ -216,7 +217,9 @@ SELECT CASE WHEN h < 80 THEN 'train' ELSE 'test' END AS part, order_key, line_nu
 FROM keyed LEFT JOIN means ON means.k = payment_type
 LEFT JOIN zmeans ON zmeans.k = DOLocationID""", "trips"))
 def join_09(spark, sf):
-    trips = tv.trips(spark, sf, *KEYS, "payment_type", "DOLocationID", "total_amount")
+    trips = materialise(
+        tv.trips(spark, sf, *KEYS, "payment_type", "DOLocationID", "total_amount"), "trips"
+    )
     train, test = hash_split(trips, 80, *KEYS)
     coded = encode_with_means(train, [test], ["payment_type", "DOLocationID"], "total_amount")
     means = ["payment_type_target_mean", "DOLocationID_target_mean"]

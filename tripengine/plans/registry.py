@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripengine.session import prepare
+from tripengine.session import prepare, size_shuffles
 
 
 class Query(NamedTuple):
@@ -27,7 +27,9 @@ def query(name: str, oracle: str | None = None):
 
         @wraps(f)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(prepare(spark), sf_dir)
+            prepare(spark)
+            size_shuffles(spark, sf_dir)
+            return f(spark, sf_dir)
 
         QUERIES[name] = Query(run, oracle)
         return f

@@ -27,6 +27,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_BYTES = 64 * 1024 * 1024
+MOST_PARTITIONS = 200_000
+
+
+def size_shuffles(spark: SparkSession, folder: str) -> int:
+    """Start shuffles with one partition per 64 MB of input.
+
+    Adaptive execution merges partitions that turn out small but never
+    splits too few into more, so the start has to grow with the data. The
+    session's own ``spark.sql.shuffle.partitions`` is the lower bound.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(path).getLength()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, min(MOST_PARTITIONS, size // SHUFFLE_BYTES))
+    spark.conf.set(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+    )
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
