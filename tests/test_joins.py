@@ -93,3 +93,32 @@ def test_a_hot_key_joins_like_any_other(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sum(n for n, _ in counts.values()) == 9000
     assert counts[0][0] >= 3000 and counts[0][1] == 0 and counts[45][1] is None
+
+
+def test_adaptive_execution_splits_the_hot_key(spark):
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in tight}
+    fact = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).cast("int").alias("k"),
+        F.col("id"))
+    dim = spark.range(500).select(F.col("id").cast("int").alias("key"), F.col("id").alias("v"))
+    try:
+        for name, value in tight.items():
+            spark.conf.set(name, value)
+        out = joins.join_role(fact, dim, "key", "k", {"v": "value"}).groupBy("k").agg(
+            F.count("*").alias("n"))
+        assert out.agg(F.sum("n")).collect()[0][0] == 60_000
+        done = joins.join_role(fact, dim, "key", "k", {"v": "value"})
+        done.write.format("noop").mode("overwrite").save()
+        rows_ = done.collect()
+        assert len(rows_) == 60_000
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -25,7 +25,7 @@ def month_file(spark, path, passenger_type, trip=TRIP):
 
 
 def test_months_with_drifting_types_are_united(spark, tmp_path):
-    paths = files.monthly_paths(str(tmp_path), "yellow_2023_{:02d}.parquet", [1, 2])
+    paths = files.monthly_paths(str(tmp_path), "trips_2023_{:02d}.parquet", [1, 2])
     month_file(spark, paths[0], "int")
     month_file(spark, paths[1], "double")
     trips = files.read_monthly(spark, paths)

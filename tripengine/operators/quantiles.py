@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tripengine.operators.joins import join_groups
 from tripengine.session import materialise
 
-BUCKETS = 1024
+BUCKETS = 4096
 SKETCH_ACCURACY = 10_000
 
 

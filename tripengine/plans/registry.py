@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripengine.session import prepare, size_shuffles
+from tripengine.session import prepare, size_to_input
 
 
 class Query(NamedTuple):
@@ -28,7 +28,7 @@ def query(name: str, oracle: str | None = None):
         @wraps(f)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            size_shuffles(spark, sf_dir)
+            size_to_input(spark, sf_dir)
             return f(spark, sf_dir)
 
         QUERIES[name] = Query(run, oracle)

@@ -27,16 +27,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_BYTES = 64 * 1024 * 1024
-MOST_PARTITIONS = 200_000
+SHUFFLE_BYTES = 1 << 30
+MOST_PARTITIONS = 32_768
+SCAN_BYTES = 128 << 20
+MOST_SCAN_TASKS = 200_000
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> int:
-    """Start shuffles with one partition per 64 MB of input.
+def size_to_input(spark: SparkSession, folder: str) -> int:
+    """Choose the task counts of scans and shuffles by the bytes to be read.
 
-    Adaptive execution merges partitions that turn out small but never
-    splits too few into more, so the start has to grow with the data. The
-    session's own ``spark.sql.shuffle.partitions`` is the lower bound.
+    A shuffle starts with a partition per GB of input. Adaptive execution
+    merges partitions that turn out small but never makes more of them, so
+    the start has to grow with the data; the session's own
+    ``spark.sql.shuffle.partitions`` is the least. Beyond 25 TB the splits of
+    a scan grow too, as map tasks times partitions is the number of blocks.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -46,6 +50,9 @@ def size_shuffles(spark: SparkSession, folder: str) -> int:
     spark.conf.set(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
     )
+    split = max(SCAN_BYTES, size // MOST_SCAN_TASKS)
+    if split > SCAN_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return partitions
 
 
