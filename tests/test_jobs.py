@@ -71,6 +71,12 @@ def test_from_files_to_a_scored_row(spark, inputs, tmp_path):
         "pickup_date = date'2023-01-01'").count() > 0
     assert [r.Zone for r in jobs.incomplete_zones(spark, inputs.zone_lookup).collect()] == [None]
 
+    explored = jobs.explored_job(spark, cleaned_path, str(tmp_path / "e"))
+    assert len(explored.columns) == 40
+    top = explored.agg(F.max("fare_amount"), F.min("fare_amount")).first()
+    assert top[0] <= cleaned.agg(F.max("fare_amount")).first()[0] and top[1] > 0
+    assert explored.select("payment_type_label").distinct().collect() == [("Credit Card",)]
+
     table = jobs.model_table_job(spark, cleaned_path, table_path)
     assert table.columns == schemas.MODEL_COLUMNS
     _, held_out = jobs.training_job(spark, table_path, model_path, numTrees=5, maxDepth=5)

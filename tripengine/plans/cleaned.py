@@ -29,9 +29,12 @@ from tripengine.functions.geo import (
     haversine_km,
     inside_box,
 )
-from tripengine.functions.predicates import in_none, positive
+from tripengine.functions.labels import code_label
+from tripengine.functions.predicates import above_up_to, in_none, positive
+from tripengine.operators.clean import round_half_even
 from tripengine.operators.joins import flag_calendar, join_daily, join_role
 from tripengine.operators.quantiles import cap_upper, iqr_bounds
+from tripengine.session import materialise
 
 # Zone ids without a place on the map.
 UNMAPPED_ZONES = [57, 105, 264, 265]
@@ -106,6 +109,38 @@ def positive_and_capped(
     return df
 
 
+# Decimals kept per column before the distributions are looked at.
+DECIMALS = {
+    "trip_distance": 2,
+    "fare_amount": 2,
+    "tolls_amount": 2,
+    "improvement_surcharge": 2,
+    "total_amount": 2,
+    "trip_duration": 2,
+    "distance_km": 2,
+    "pickup_latitude": 5,
+    "pickup_longitude": 5,
+    "dropoff_latitude": 5,
+    "dropoff_longitude": 5,
+    "temp": 1,
+}
+
+
+def explored_table(cleaned: DataFrame, rel_err: float | None = None) -> DataFrame:
+    """Rounded distinct trips without implausible amounts, counts and distances.
+
+    Fares, totals and distances are positive and capped at their upper bound,
+    one to six passengers ride, and the payment code has its label: 40 columns.
+    """
+    # written once, as the bounds below each read it
+    df = materialise(round_half_even(cleaned, DECIMALS).dropDuplicates(), "rounded")
+    df = positive_and_capped(df, ["fare_amount", "total_amount"], rel_err)
+    df = df.filter(above_up_to("passenger_count", 0, 6)).withColumn(
+        "payment_type_label", code_label(F.col("payment_type"))
+    )
+    return positive_and_capped(df, ["trip_distance"], rel_err)
+
+
 def bin_features(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "distance_bin": distance_bin(),

@@ -17,7 +17,15 @@ from tripengine import schemas
 from tripengine.functions.predicates import any_null, in_none
 from tripengine.operators.clean import conform, hash_split
 from tripengine.operators.models import regression_pipeline, save_model, score
-from tripengine.plans.cleaned import UNMAPPED_ZONES, clean, enrich, feature_table, model_table
+from tripengine.plans.cleaned import (
+    UNMAPPED_ZONES,
+    clean,
+    enrich,
+    explored_table,
+    feature_table,
+    model_table,
+)
+from tripengine.session import materialise
 from tripengine.sources.files import (
     read_holidays,
     read_monthly,
@@ -63,7 +71,7 @@ def cleaned_job(spark: SparkSession, inputs: Inputs, output: str) -> DataFrame:
     cleaned = enrich(
         clean(read_monthly(spark, inputs.trip_paths), year),
         zone_dimension(spark, inputs.zone_lookup),
-        polygon_centroids(ring_vertices(shapes)),
+        materialise(polygon_centroids(ring_vertices(shapes)), "centroids"),
         holidays,
         read_weather(spark, inputs.weather),
         inputs.excluded_zones,
@@ -72,6 +80,14 @@ def cleaned_job(spark: SparkSession, inputs: Inputs, output: str) -> DataFrame:
     return read_stage(spark, output, fmt)
 
 
+def explored_job(
+    spark: SparkSession, cleaned: str, output: str, fmt: str | None = None
+) -> DataFrame:
+    """The cleaned table without implausible values, for profiles and plots."""
+    write_stage(explored_table(read_stage(spark, cleaned, fmt)), output, fmt)
+    return read_stage(spark, output, fmt)
+
+
 def model_table_job(
     spark: SparkSession, cleaned: str, output: str, fmt: str | None = None
 ) -> DataFrame:

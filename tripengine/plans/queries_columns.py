@@ -25,8 +25,10 @@ from tripengine.operators.joins import join_groups
 from tripengine.operators.quantiles import exact_quantiles
 from tripengine.plans import tripview as tv
 from tripengine.plans.cleaned import (
+    DECIMALS,
     clean,
     enrich,
+    explored_table,
     feature_table,
     model_table,
 )
@@ -278,6 +280,48 @@ def cleaned(spark, sf):
     })
 
 
+def _half_even_sql(column, digits):
+    """Half-even rounding in decimal digits, as a number is printed."""
+    scaled = f"(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38, 16)) * {10 ** digits})"
+    up = (f"{scaled} - floor({scaled}) > 0.5 OR "
+          f"({scaled} - floor({scaled}) = 0.5 AND floor({scaled}) % 2 <> 0)")
+    return f"CAST(floor({scaled}) + CASE WHEN {up} THEN 1 ELSE 0 END AS DOUBLE) / {10 ** digits}"
+
+
+def _capped_sql(name, source, column, also=""):
+    """Positive values of a column, lowered to the upper quartile bound."""
+    return f"""
+{name}_q AS (SELECT quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.75) AS q3
+  FROM {source} WHERE {column} > 0 {also}),
+{name} AS (SELECT * EXCLUDE (q1, q3) REPLACE (least({column}, q3 + 1.5 * (q3 - q1)) AS {column})
+  FROM {source}, {name}_q WHERE {column} > 0 {also})"""
+
+
+EXPLORED_SQL = CLEANED_SQL + f""",
+rounded AS (SELECT DISTINCT * REPLACE (
+  {", ".join(f"{_half_even_sql(c, d)} AS {c}" for c, d in DECIMALS.items())}) FROM cleaned),
+{_capped_sql("e1", "rounded", "fare_amount")},
+{_capped_sql("e2", "e1", "total_amount")},
+{_capped_sql("e3", "e2", "trip_distance", "AND passenger_count > 0 AND passenger_count <= 6")}"""
+
+
+@query("explored_trips", with_tables(f"""
+WITH {EXPLORED_SQL}
+SELECT * EXCLUDE (pickup_datetime, dropoff_datetime)
+         REPLACE (round(total_amount, 6) AS total_amount, round(fare_amount, 6) AS fare_amount),
+       CASE payment_type WHEN '1' THEN 'Credit Card' WHEN '2' THEN 'Cash'
+         WHEN '3' THEN 'No Charge' WHEN '4' THEN 'Dispute' WHEN '5' THEN 'Unknown' END
+         AS payment_type_label
+FROM e3""", *CLEANED_TABLES))
+def explored(spark, sf):
+    path = scratch(spark, "cleaned")
+    write_stage(cleaned_trips(spark, sf), path, "parquet")
+    return explored_table(read_stage(spark, path, "parquet")).withColumns({
+        **{c: F.round(c, 6) for c in ("total_amount", "fare_amount")},
+        "pickup_date": F.col("pickup_date").cast("string"),
+    }).drop("pickup_datetime", "dropoff_datetime")
+
+
 FEATURES_SQL = CLEANED_SQL + """,
 d1 AS (SELECT *, quantile_cont(trip_distance, 0.75) OVER () AS q3,
               quantile_cont(trip_distance, 0.25) OVER () AS q1
