@@ -89,3 +89,17 @@ def test_from_files_to_a_scored_row(spark, inputs, tmp_path):
     assert len(out) == 2 and all(r.predicted_total > 0 for r in out)
     # about 3 + 2.5 * 20 / 6 + 1
     assert out[0].predicted_total == pytest.approx(12.5, abs=3)
+
+
+def test_form_labels_become_training_codes(spark):
+    form = spark.createDataFrame(
+        [(1, "Card", 20, "Sunday", 8, 10, "Manhattan", "Brooklyn", "No", "Medium", "Night", "Yes"),
+         (2, "Barter", 5, "Someday", 9, 1, "Queens", "Queens", "Yes", "Short", "Morning", "No")],
+        schemas.SCORING_ROW.names)
+    rows = jobs.form_rows(form)
+    assert rows.schema == schemas.SCORING_ROW
+    first, second = rows.orderBy("passenger_count").collect()
+    assert (first.payment_type, first.pickup_day_of_week, first.is_holiday, first.near_airport,
+            first.time_of_day_bin, first.trip_duration) == (1, 1, 0, 1, "Late Night", 20.0)
+    assert (second.payment_type, second.pickup_day_of_week, second.time_of_day_bin) == (
+        0, 0, "Morning")

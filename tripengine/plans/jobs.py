@@ -14,6 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripengine import schemas
+from tripengine.functions.labels import (
+    FORM_PAYMENT,
+    FORM_WEEKDAY,
+    FORM_YES_NO,
+    form_code,
+    form_term,
+)
 from tripengine.functions.predicates import any_null, in_none
 from tripengine.operators.clean import conform, hash_split
 from tripengine.operators.models import regression_pipeline, save_model, score
@@ -112,6 +119,20 @@ def training_job(
     return fitted, score(fitted, test)
 
 
+def form_rows(form: DataFrame) -> DataFrame:
+    """Rows of form labels as model inputs, in the codes of the training data."""
+    return conform(
+        form.withColumns({
+            "payment_type": form_code(F.col("payment_type"), FORM_PAYMENT),
+            "pickup_day_of_week": form_code(F.col("pickup_day_of_week"), FORM_WEEKDAY),
+            "is_holiday": form_code(F.col("is_holiday"), FORM_YES_NO),
+            "near_airport": form_code(F.col("near_airport"), FORM_YES_NO),
+            "time_of_day_bin": form_term(F.col("time_of_day_bin")),
+        }),
+        schemas.SCORING_ROW,
+    )
+
+
 def scoring_job(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Predictions for rows with the 12 model inputs."""
     ready = conform(rows, schemas.SCORING_ROW)

@@ -197,7 +197,8 @@ def agg_11(spark, sf):
 
 @query("agg_12_cap_at_upper_bound", f"""
 WITH {BOUNDS_SQL}
-SELECT event_id, round(least(value, upper), 6) AS value FROM events, bounds""")
+SELECT event_id, round(CASE WHEN value > upper THEN upper ELSE value END, 6) AS value
+FROM events, bounds""")
 def agg_12(spark, sf):
     rows = tv.read(spark, sf, "events").select("event_id", "value")
     return rounded(cap_upper(rows, "value", iqr_bounds(rows, "value")), 6, "value")
@@ -527,8 +528,8 @@ SELECT '{c}' AS feature, k - 1 AS df_between, CAST(total AS BIGINT) - k AS df_wi
 FROM (SELECT count(*) AS k, sum(n) AS total, sum(n * (m - grand) ** 2) AS ssb,
              sum(n * v) AS ssw
       FROM (SELECT count(*) AS n, avg(total_amount) AS m, var_pop(total_amount) AS v
-            FROM trips GROUP BY {c}),
-           (SELECT avg(total_amount) AS grand FROM trips))""" for c in columns)
+            FROM trips WHERE {c} IS NOT NULL AND total_amount IS NOT NULL GROUP BY {c}),
+           (SELECT avg(total_amount) AS grand FROM trips WHERE {c} IS NOT NULL))""" for c in columns)
 
 
 @query("sta_02_one_way_anova", with_tables(_anova_sql(["payment_type", "DOLocationID"]), "trips"))
@@ -580,7 +581,8 @@ WITH q AS (
          quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1),
 inside AS (
   SELECT q.*, value, value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS ok
-  FROM events JOIN q USING (event_type))
+  FROM events e JOIN q ON e.event_type IS NOT DISTINCT FROM q.event_type
+  WHERE value IS NOT NULL)
 SELECT event_type, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        min(value) FILTER (WHERE ok) AS whisker_low, max(value) FILTER (WHERE ok) AS whisker_high,
        count(*) FILTER (WHERE NOT ok) AS outliers, count(*) AS count

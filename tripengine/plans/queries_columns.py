@@ -204,6 +204,9 @@ def bin_05(spark, sf):
 
 # finished tables ----------------------------------------------------------
 
+COMPLETE_SQL = " AND ".join(
+    f"t.{c.replace('tpep_', '')} IS NOT NULL" for c in schemas.TRIP_RAW.names)
+
 CLEANED_SQL = f"""
 us_days AS (
   SELECT CAST(date AS DATE) AS day, min(holidayName) AS holidayName,
@@ -220,7 +223,8 @@ located AS (
   LEFT JOIN centroids pc ON pc.LocationID = PULocationID
   LEFT JOIN centroids dc ON dc.LocationID = DOLocationID
   LEFT JOIN zones pz ON pz.LocationID = PULocationID
-  LEFT JOIN zones dz ON dz.LocationID = DOLocationID),
+  LEFT JOIN zones dz ON dz.LocationID = DOLocationID
+  WHERE {COMPLETE_SQL}),
 cleaned AS (
   SELECT l.*,
          CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS pickup_day_of_week,

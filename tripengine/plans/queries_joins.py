@@ -108,10 +108,10 @@ def join_04(spark, sf):
 
 @query("join_05_unmatched_keys", with_tables("""
 SELECT DISTINCT 'pickup' AS role, PULocationID AS LocationID FROM trips
-WHERE PULocationID NOT IN (SELECT LocationID FROM centroids)
+WHERE NOT EXISTS (SELECT 1 FROM centroids c WHERE c.LocationID = PULocationID)
 UNION ALL
 SELECT DISTINCT 'dropoff', DOLocationID FROM trips
-WHERE DOLocationID NOT IN (SELECT LocationID FROM centroids)""", "trips", "centroids"))
+WHERE NOT EXISTS (SELECT 1 FROM centroids c WHERE c.LocationID = DOLocationID)""", "trips", "centroids"))
 def join_05(spark, sf):
     places = tv.centroids(spark, sf)
     found = []

@@ -31,13 +31,14 @@ LABEL = schemas.LABEL
 RANK_SQL = """
 codes AS (
   SELECT payment_type AS k, row_number() OVER (ORDER BY count(*) DESC, payment_type) - 1 AS code
-  FROM trips GROUP BY 1)"""
+  FROM trips WHERE payment_type IS NOT NULL GROUP BY 1)"""
 
 
 @query("enc_01_ordinal", with_tables(f"""
 WITH {RANK_SQL}
-SELECT order_key, line_number, CAST(code AS DOUBLE) AS payment_type_index
-FROM trips JOIN codes ON k = payment_type""", "trips"))
+SELECT order_key, line_number,
+       CAST(coalesce(code, (SELECT count(*) FROM codes)) AS DOUBLE) AS payment_type_index
+FROM trips LEFT JOIN codes ON k = payment_type""", "trips"))
 def enc_01(spark, sf):
     df = tv.trips(spark, sf, *KEYS, "payment_type")
     return encode.indexer(["payment_type"]).fit(df).transform(df).drop("payment_type")
@@ -144,6 +145,24 @@ def enc_07(spark, sf):
     ])
 
 
+@query("enc_07_components_of_two_features", """
+SELECT l_orderkey AS order_key, l_linenumber AS line_number,
+       round(abs(x + y) / sqrt(2), 4) AS along, round(abs(x - y) / sqrt(2), 4) AS across
+FROM (SELECT l_orderkey, l_linenumber, l_extendedprice / stddev_samp(l_extendedprice) OVER () AS x,
+             l_extendedprice * l_discount / stddev_samp(l_extendedprice * l_discount) OVER () AS y
+      FROM lineitem)""")
+def enc_07_two(spark, sf):
+    """Two standardised correlated features turn by 45 degrees, up to the sign."""
+    df = encode.assemble(["fare_amount", "tolls_amount"], label=LABEL).transform(
+        tv.trips(spark, sf, *KEYS, "fare_amount", "tolls_amount")
+    )
+    done = Pipeline(stages=[encode.standardise(), encode.principal(2)]).fit(df).transform(df)
+    parts = vector_to_array("pcaFeatures")
+    return done.select(*KEYS, *[
+        F.round(F.abs(F.get(parts, F.lit(i))), 4).alias(n) for i, n in enumerate(["along", "across"])
+    ])
+
+
 # models with a closed form ------------------------------------------------
 
 
@@ -228,7 +247,7 @@ def snk_03(spark, sf):
 @query("prd_01_batch_scoring", with_tables("""
 SELECT o_orderkey, round(m, 1) AS prediction FROM orders
 JOIN (SELECT payment_type AS k, avg(total_amount) AS m FROM trips GROUP BY 1)
-  ON k = left(o_orderpriority, 1)""", "trips"))
+  ON k IS NOT DISTINCT FROM left(o_orderpriority, 1)""", "trips"))
 def prd_01(spark, sf):
     model = target_mean_line().fit(tv.trips(spark, sf, "payment_type", LABEL))
     fresh = tv.read(spark, sf, "orders").select(
@@ -409,13 +428,14 @@ def imp_06(spark, sf):
 
 
 def _chi_square_sql(columns, label):
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*columns, label])
     return "\nUNION ALL\n".join(f"""
 SELECT '{c}' AS feature, round(n * (sum(o * o * 1.0 / (r * k)) - 1), 4) AS statistic,
        CAST((count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS BIGINT) AS degrees_of_freedom
 FROM (SELECT *, sum(o) OVER (PARTITION BY a) AS r, sum(o) OVER (PARTITION BY b) AS k,
              sum(o) OVER () AS n
       FROM (SELECT {c} AS a, {label} AS b, CAST(count(*) AS DOUBLE) AS o
-            FROM trips GROUP BY 1, 2))
+            FROM trips WHERE {complete} GROUP BY 1, 2))
 GROUP BY n""" for c in columns)
 
 

@@ -57,7 +57,7 @@ TRIP_SUMS_SQL = """count(*) AS n, CAST(sum(passenger_count) AS BIGINT) AS passen
 @query("src_01_monthly_files", with_tables(f"""
 SELECT strftime(pickup_datetime, '%m') AS month, {TRIP_SUMS_SQL},
        min(CAST(PULocationID AS INTEGER)) AS first_zone
-FROM trips GROUP BY 1""", "trips"))
+FROM trips WHERE pickup_datetime IS NOT NULL GROUP BY 1""", "trips"))
 def src_01(spark, sf):
     folder = scratch(spark, "monthly")
     named = F.concat(F.lit("trips_"), F.date_format("tpep_pickup_datetime", "MM"), F.lit(".parquet"))
@@ -209,7 +209,7 @@ SELECT feature, round(correlation_importance, 4) AS correlation_importance FROM
   SELECT 'fare_amount' AS feature, abs(corr(fare_amount, total_amount))
     AS correlation_importance FROM trips
   UNION ALL SELECT 'passenger_count', abs(corr(passenger_count, total_amount)) FROM trips
-  UNION ALL SELECT 'Mean total_amount for payment_type = ' || payment_type,
+  UNION ALL SELECT 'Mean total_amount for payment_type = ' || coalesce(payment_type, 'None'),
     abs(avg(total_amount)) FROM trips GROUP BY payment_type)""", "trips"))
 def src_10(spark, sf):
     trips = tv.trips(spark, sf, "fare_amount", "passenger_count", "payment_type", "total_amount")

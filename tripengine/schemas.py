@@ -43,7 +43,7 @@ WEATHER_DOCUMENT = T.StructType(
     [T.StructField("days", T.ArrayType(table(datetime=TEXT, temp=DOUBLE)))]
 )
 
-# The 12 inputs of a fare model, in the order of the form that asks for them.
+# The inputs of a fare model, in the order of the form that asks for them.
 SCORING_ROW = table(
     passenger_count=INT,
     payment_type=INT,
@@ -59,6 +59,7 @@ SCORING_ROW = table(
     near_airport=INT,
 )
 
+# The columns of the feature table and of the model table.
 FEATURE_COLUMNS = [
     "DOLocationID", "PULocationID", "passenger_count", "payment_type",
     "total_amount", "trip_duration", "pickup_day_of_week", "pickup_hour",
