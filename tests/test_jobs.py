@@ -97,7 +97,7 @@ def test_form_labels_become_training_codes(spark):
          (2, "Barter", 5, "Someday", 9, 1, "Queens", "Queens", "Yes", "Short", "Morning", "No")],
         schemas.SCORING_ROW.names)
     rows = jobs.form_rows(form)
-    assert rows.schema == schemas.SCORING_ROW
+    assert rows.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.SCORING_ROW]
     first, second = rows.orderBy("passenger_count").collect()
     assert (first.payment_type, first.pickup_day_of_week, first.is_holiday, first.near_airport,
             first.time_of_day_bin, first.trip_duration) == (1, 1, 0, 1, "Late Night", 20.0)

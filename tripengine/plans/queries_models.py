@@ -21,11 +21,17 @@ from tripengine.plans.cleaned import bin_features
 from tripengine.plans.queries_joins import KEYS, zoned_trips
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
-from tripengine.session import scratch
+from tripengine.session import materialise, scratch
 from tripengine.streaming.scoring import score_arriving
 
 LABEL = schemas.LABEL
 
+
+def stored_trips(spark, sf, *columns):
+    """The joined trip columns, written once as each stage of a fit reads them."""
+    return materialise(tv.trips(spark, sf, *columns), "trips")
+
+
 # encodings ----------------------------------------------------------------
 
 RANK_SQL = """
@@ -40,12 +46,12 @@ SELECT order_key, line_number,
        CAST(coalesce(code, (SELECT count(*) FROM codes)) AS DOUBLE) AS payment_type_index
 FROM trips LEFT JOIN codes ON k = payment_type""", "trips"))
 def enc_01(spark, sf):
-    df = tv.trips(spark, sf, *KEYS, "payment_type")
+    df = stored_trips(spark, sf, *KEYS, "payment_type")
     return encode.indexer(["payment_type"]).fit(df).transform(df).drop("payment_type")
 
 
 def _one_hot(spark, sf, drop_last):
-    df = tv.trips(spark, sf, *KEYS, "payment_type")
+    df = stored_trips(spark, sf, *KEYS, "payment_type")
     stages = [encode.indexer(["payment_type"], "error"), encode.one_hot(["payment_type"], drop_last)]
     stages[1] = stages[1].setHandleInvalid("error")
     coded = Pipeline(stages=stages).fit(df).transform(df)
@@ -103,7 +109,7 @@ SELECT order_key, line_number, round(avg(total_amount) OVER (PARTITION BY paymen
   AS payment_type_target
 FROM trips""", "trips"))
 def enc_04(spark, sf):
-    df = tv.trips(spark, sf, *KEYS, "payment_type", LABEL)
+    df = stored_trips(spark, sf, *KEYS, "payment_type", LABEL)
     stages = [encode.indexer(["payment_type"]), encode.target_mean(["payment_type"], LABEL)]
     return Pipeline(stages=stages).fit(df).transform(df).select(
         *KEYS, F.round("payment_type_target", 4).alias("payment_type_target")
@@ -186,7 +192,7 @@ SELECT order_key, line_number, round(avg(total_amount) OVER (PARTITION BY paymen
 
 def _fitted_on_code(spark, sf, name, **params):
     """A tree model on the payment code alone: it predicts the mean per code."""
-    df = tv.trips(spark, sf, *KEYS, "payment_type", LABEL).withColumn(
+    df = stored_trips(spark, sf, *KEYS, "payment_type", LABEL).withColumn(
         "code", F.col("payment_type").cast("double")
     )
     df = encode.assemble(["code"], label=LABEL).transform(df)
@@ -213,7 +219,7 @@ def mdl_04(spark, sf):
 def mdl_05(spark, sf):
     places = tv.centroids(spark, sf).withColumnRenamed("LocationID", "PULocationID")
     df = tv.trips(spark, sf, *KEYS, "PULocationID").join(places, "PULocationID", "left")
-    return models.cluster_points(df, ["latitude", "longitude"])
+    return models.cluster_points(materialise(df, "places"), ["latitude", "longitude"])
 
 
 def target_mean_line() -> Pipeline:
@@ -228,7 +234,7 @@ def target_mean_line() -> Pipeline:
 
 @query("pip_01_fit_and_transform", _GROUP_MEAN)
 def pip_01(spark, sf):
-    df = tv.trips(spark, sf, *KEYS, "payment_type", LABEL)
+    df = stored_trips(spark, sf, *KEYS, "payment_type", LABEL)
     return target_mean_line().fit(df).transform(df).select(
         *KEYS, F.round("prediction", 1).alias("prediction")
     )
@@ -236,7 +242,7 @@ def pip_01(spark, sf):
 
 @query("snk_03_saved_model", _GROUP_MEAN)
 def snk_03(spark, sf):
-    df = tv.trips(spark, sf, *KEYS, "payment_type", LABEL)
+    df = stored_trips(spark, sf, *KEYS, "payment_type", LABEL)
     path = scratch(spark, "model")
     models.save_model(target_mean_line().fit(df), path)
     return models.score(models.load_model(path), df).select(
@@ -249,7 +255,7 @@ SELECT o_orderkey, round(m, 1) AS prediction FROM orders
 JOIN (SELECT payment_type AS k, avg(total_amount) AS m FROM trips GROUP BY 1)
   ON k IS NOT DISTINCT FROM left(o_orderpriority, 1)""", "trips"))
 def prd_01(spark, sf):
-    model = target_mean_line().fit(tv.trips(spark, sf, "payment_type", LABEL))
+    model = target_mean_line().fit(stored_trips(spark, sf, "payment_type", LABEL))
     fresh = tv.read(spark, sf, "orders").select(
         "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("payment_type")
     )
@@ -260,7 +266,7 @@ def prd_01(spark, sf):
 
 @query("str_01_score_arriving_files", _GROUP_MEAN)
 def str_01(spark, sf):
-    model = target_mean_line().fit(tv.trips(spark, sf, "payment_type", LABEL))
+    model = target_mean_line().fit(stored_trips(spark, sf, "payment_type", LABEL))
     lines = tv.read(spark, sf, "lineitem")
     sink = scratch(spark, "scored")
     arriving = score_arriving(
@@ -306,7 +312,7 @@ def model_rows(spark, sf):
         "payment_type": F.col("payment_type").cast("int"),
         "temp": F.lit(None).cast("double"),
     }))
-    return df.select(*KEYS, *schemas.MODEL_COLUMNS)
+    return materialise(df.select(*KEYS, *schemas.MODEL_COLUMNS), "model-rows")
 
 
 def model_parts(spark, sf):
