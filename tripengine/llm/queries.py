@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators."""
 
-from tripengine.llm import exact  # noqa: F401
+from tripengine.llm import bpe, exact, tokens  # noqa: F401
 from tripengine.llm.common import QUERIES  # noqa: F401
