@@ -49,7 +49,7 @@ SINGLE, SHARED = 96, 32
 CLASSES = SINGLE + SHARED
 #: Tokens whose counts every task holds at most, and the longest of them in bytes.
 HEAD, LONGEST_HEAD = 1 << 17, 64
-WIDTH, STEPS, BATCH, NOISE, RATE = 24, 3000, 1024, 24, 0.3
+WIDTH, STEPS, BATCH, NOISE, RATE = 24, 1500, 1024, 24, 0.3
 #: Different tokens a task counts before it hands them on.
 HELD = 1 << 18
 #: The end of a text. No word holds a blank.
@@ -111,31 +111,34 @@ class LogBilinear:
         share = np.cumsum(counts) / counts.sum()
         noise = np.bincount(trigrams % self.classes, counts, self.classes) + 1
         noise = noise / noise.sum()
-        log_noise = np.log(k * noise)
+        log_noise = np.log(k * noise).astype(np.float32)
         self.bias = np.log(noise)
         noise_share = np.cumsum(noise)
         parts = [self.context, self.weight, self.target, self.bias]
-        one_hot = np.eye(self.classes)
+        parts = [p.astype(np.float32) for p in parts]
+        one_hot = np.eye(self.classes, dtype=np.float32)
         squares = [np.full_like(p, 1e-3) for p in parts]
         for step in range(steps):
             t = trigrams[np.minimum(np.searchsorted(share, draw.random(BATCH)), len(trigrams) - 1)]
             a, b, c = t // self.classes**2, t // self.classes % self.classes, t % self.classes
             # a batch shares its noise, so that all scores are one matrix product
             z = np.minimum(np.searchsorted(noise_share, draw.random(k)), self.classes - 1)
-            r = self._predicted(a, b)
-            true = 1 / (1 + np.exp(-((r * self.target[c]).sum(1) + self.bias[c] - log_noise[c])))
-            fake = 1 / (1 + np.exp(-(r @ self.target[z].T + self.bias[z] - log_noise[z])))
+            context, weight, target, bias = parts
+            r = context[a] * weight[0] + context[b] * weight[1]
+            true = 1 / (1 + np.exp(-((r * target[c]).sum(1) + bias[c] - log_noise[c])))
+            fake = 1 / (1 + np.exp(-(r @ target[z].T + bias[z] - log_noise[z])))
             up, down = (1 - true) / BATCH, -fake / BATCH
-            d_r = up[:, None] * self.target[c] + down @ self.target[z]
+            d_r = up[:, None] * target[c] + down @ target[z]
             at_a, at_b, at_c, at_z = (one_hot[x].T for x in (a, b, c, z))
-            grads = [at_a @ (d_r * self.weight[0]) + at_b @ (d_r * self.weight[1]),
-                     np.stack([(d_r * self.context[a]).sum(0), (d_r * self.context[b]).sum(0)]),
+            grads = [at_a @ (d_r * weight[0]) + at_b @ (d_r * weight[1]),
+                     np.stack([(d_r * context[a]).sum(0), (d_r * context[b]).sum(0)]),
                      at_c @ (up[:, None] * r) + at_z @ (down.T @ r),
                      at_c @ up + at_z @ down.sum(0)]
             rate = RATE * (1 - step / steps)
             for part, grad, square in zip(parts, grads, squares, strict=True):
                 square += grad * grad
                 part += rate * grad / np.sqrt(square)
+        self.context, self.weight, self.target, self.bias = (p.astype(np.float64) for p in parts)
         return self
 
 
