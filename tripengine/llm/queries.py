@@ -1,4 +1,4 @@
 """Importing this module registers the queries of all operators."""
 
-from tripengine.llm import bpe, exact, jaccard, langid, licences, lm, tokens, warc  # noqa: F401
+from tripengine.llm import bpe, decontaminate, exact, jaccard, langid, licences, lm, tokens, warc  # noqa: F401
 from tripengine.llm.common import QUERIES  # noqa: F401
