@@ -1,13 +1,33 @@
-"""From raw documents to encoded ones, stage by stage."""
+"""From raw documents to token ids: five stages, each on all that the one before kept.
+
+1. language: documents without a language (null texts, no letter) go.
+2. exact_dedup: of equal texts the document with the smallest id stays.
+3. near_dedup: of documents linked by word shingles (five words, 0.8) one stays.
+4. decontaminate: documents that hold a benchmark passage go.
+5. encode: each document's token ids, and digests of them and of the text decoded from them.
+
+All stages but the last return the columns of documents. Each result is
+written as Parquet and reread, so that a lost executor costs part of one stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripengine.llm import bpe, decontaminate, exact, jaccard, langid
+from tripengine.llm.common import materialise, query, ready, scratch, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-from tripengine.llm import exact
-from tripengine.llm.common import query, ready, scratch, table
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language, as told by trees fitted on labelled ones."""
+    ready(spark)
+    return langid.known_language(docs, langid.fit(langid.training_rows(docs)))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +36,42 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.deduplicate(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of linked documents the one with the smallest id stays.
+
+    A document without words is a component of its own. Rows that repeat the
+    smallest id with other texts would all stay; the stage before left one row
+    for each text.
+    """
+    ready(spark)
+    found = jaccard.near_duplicates(docs, 5, 80)
+    dropped = materialise(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+                          .select("doc_id").distinct(), "dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    ready(spark)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens and the decoded text's digest of every document."""
+    ready(spark)
+    path = public_tokenizers.path(bpe.WORD_BPE)
+    coded = bpe.encode(docs.select("doc_id", "text"), path, "text", "ids")
+    return bpe.decode(coded.drop("text"), path, "ids", "decoded").select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminated),
+    ("encode", encode),
 ]
 
 
@@ -31,6 +85,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-ORACLE_SQL = None  # language, links and tokens have no SQL form; see tests/llm
+ORACLE_SQL = None  # languages, links and tokens have no SQL form; see tests/llm
 
 query("pipeline", ORACLE_SQL)(run)
