@@ -71,29 +71,34 @@ def cut_bin(column: str, cuts: Sequence[float], labels: Sequence[str]) -> Column
     if len(labels) != len(cuts) + 1:
         raise ValueError("one label more than cut points is needed")
     c = F.col(column)
-    chain = F.when(c < cuts[0], labels[0])
-    for cut, label in zip(cuts[1:], labels[1:]):
-        chain = chain.when(c < cut, label)
-    return chain.when(c >= cuts[-1], labels[-1])
+    rules = [(label, c < cut) for label, cut in zip(labels, cuts)]
+    return F.when(c.isNotNull(), bin_column(c, rules, labels[-1]))
 
 
-# Cut points and labels of the two frequency tables.
-DISTANCE_CUTS, DISTANCE_LABELS = (
-    [2, 5, 10, 20], ["0-2 km", "2-5 km", "5-10 km", "10-20 km", "20+ km"])
+# Cut points of the two frequency tables, labels of the fares, and
+# names of the distance classes.
+DISTANCE_CUTS = [2, 5, 10, 20]
 FARE_CUTS, FARE_LABELS = (
     [10, 20, 50, 100], ["$0-10", "$10-20", "$20-50", "$50-100", "$100+"])
+CLASSES = ["Very High (>20 {})", "High (10-20 {})", "Average (5-10 {})", "Low (1-5 {})",
+           "Very Low (<1 {})"]
 
 
-def distance_category(column: str = "trip_distance") -> Column:
+def distance_labels(unit: str = "miles") -> list[str]:
+    """Labels of ``DISTANCE_CUTS`` in the unit the column is measured in."""
+    edges = [0, *DISTANCE_CUTS]
+    return [f"{a}-{b} {unit}" for a, b in zip(edges, DISTANCE_CUTS)] + [f"{edges[-1]}+ {unit}"]
+
+
+DISTANCE_LABELS = distance_labels()
+
+
+def distance_category(column: str = "trip_distance", unit: str = "miles") -> Column:
     """Five named distance classes; exactly 1 and null are in the lowest."""
     c = F.col(column)
-    rules = [
-        ("Very High (>20 km)", c > 20),
-        ("High (10-20 km)", c >= 10),
-        ("Average (5-10 km)", c >= 5),
-        ("Low (1-5 km)", c > 1),
-    ]
-    return bin_column(c, rules, "Very Low (<1 km)")
+    *names, lowest = [name.format(unit) for name in CLASSES]
+    rules = list(zip(names, [c > 20, c >= 10, c >= 5, c > 1]))
+    return bin_column(c, rules, lowest)
 
 
 def width_bucket_floor(column: str, width: float) -> Column:

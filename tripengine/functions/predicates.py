@@ -28,10 +28,13 @@ def any_null(columns) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
-def hash_bucket(*keys: str, buckets: int = 100) -> Column:
+def hash_bucket(*keys: str, buckets: int = 100, salt: str | None = None) -> Column:
     """A bucket 0..buckets-1 that depends on the key values alone.
 
-    MD5 rather than Spark's own hash, so that other systems can redo it.
+    MD5 rather than Spark's own hash, so that other systems can redo it. Rows
+    that one split has put together are parted anew by another ``salt``.
     """
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    # a null key has a mark of its own, so that (null, a) and (a, null) differ
+    first = [] if salt is None else [F.lit(salt)]
+    text = F.concat_ws("|", *first, *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))

@@ -90,18 +90,29 @@ def pivot_counts(
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Rows per equal-width bin between minimum and maximum.
 
-    Every bin is left-closed and the last one closed on both sides; empty
-    bins have no row. All groups share the bins.
+    Every bin is left-closed and the last one closed on both sides; a bin
+    without values has a row with count 0, in each group that has any value.
+    A table without values has no bins. All groups share the bins.
     """
     value = F.col(column)
     edges = df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
     low, high = edges.select("low").scalar(), edges.select("high").scalar()
     width = (high - low) / F.lit(bins)
     position = F.coalesce(F.floor(F.try_divide(value - low, width)), F.lit(0))
-    return (
+    counted = (
         df.filter(value.isNotNull())
         .groupBy(*by, F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .count()
+    )
+    # a zero for every bin of every group; at most ``bins`` rows a group
+    zeros = counted.select(*by).distinct() if by else counted.limit(1).select()
+    zeros = zeros.select(
+        *by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("bigint").alias("count")
+    )
+    return (
+        counted.unionByName(zeros)
+        .groupBy(*by, "bin")
+        .agg(F.sum("count").alias("count"))
         .withColumns({
             "bin_start": low + F.col("bin") * width,
             "bin_end": low + (F.col("bin") + 1) * width,

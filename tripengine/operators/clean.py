@@ -52,7 +52,12 @@ def hash_sample(df: DataFrame, percent: int, *keys: str) -> DataFrame:
     return df.filter(hash_bucket(*keys) < percent)
 
 
-def hash_split(df: DataFrame, percent: int, *keys: str) -> tuple[DataFrame, DataFrame]:
-    """A repeatable split into ``percent`` of the key space and the rest."""
-    bucket = hash_bucket(*keys)
+def hash_split(
+    df: DataFrame, percent: int, *keys: str, salt: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """A repeatable split into ``percent`` of the key space and the rest.
+
+    A part is split again with another ``salt``; without one it would stay whole.
+    """
+    bucket = hash_bucket(*keys, salt=salt)
     return df.filter(bucket < percent), df.filter(bucket >= percent)

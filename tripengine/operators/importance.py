@@ -6,15 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripengine.operators.encode import assemble, indexer
+from tripengine.functions.tails import chi_square_tail
+from tripengine.operators.encode import assemble
 from tripengine.operators.joins import merge_scores
 from tripengine.operators.models import SEED
 from tripengine.operators.profile import mean_score
+from tripengine.session import materialise
 
 
 def _scores(spark: SparkSession, names: Sequence[str], values, column: str) -> DataFrame:
@@ -91,18 +92,21 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean absolute change of the prediction when one feature is swapped.
 
-    Rows are thrown into random buckets of bounded size; each row takes the
-    feature's value from the next row of its bucket, the last from the
-    first. One shuffle serves all features, and nothing is joined.
+    Equal rows are counted together, so none is frequent, and thrown into
+    buckets of bounded size by a hash of their values, so that pairs do not
+    depend on how rows lie in files. Each takes the feature's value from the
+    next one of its bucket, the last from the first. Nothing is joined.
     """
     buckets = max(1, df.count() // rows_per_bucket)
+    own = vector_to_array(features)
     thrown = model.transform(df).select(
-        vector_to_array(features).alias("own"),
+        own.alias("own"),
         F.col("prediction").alias("plain"),
-        F.floor(F.rand(SEED) * buckets).alias("bucket"),
-        F.rand(SEED + 1).alias("place"),
-    )
-    walk = Window.partitionBy("bucket").orderBy("place")
+    ).groupBy("own", "plain").agg(F.count("*").alias("n")).withColumns({
+        "bucket": F.pmod(F.xxhash64("own", F.lit(SEED)), F.lit(buckets)),
+        "place": F.xxhash64("own", F.lit(SEED + 1)),
+    })
+    walk = Window.partitionBy("bucket").orderBy("place", "own")
     whole = walk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     paired = thrown.withColumn(
         "other", F.coalesce(F.lead("own").over(walk), F.first("own").over(whole))
@@ -115,9 +119,9 @@ def permutation_importance(
         return F.struct(F.lit(names[i]).alias("feature"), vector.alias("values"))
 
     variants = paired.select(
-        "plain", F.inline(F.array(*[swapped(i) for i in range(len(names))]))
+        "plain", "n", F.inline(F.array(*[swapped(i) for i in range(len(names))]))
     ).withColumn(features, array_to_vector("values"))
-    change = F.mean(F.abs(F.col("prediction") - F.col("plain")))
+    change = F.sum(F.col("n") * F.abs(F.col("prediction") - F.col("plain"))) / F.sum("n")
     found = dict(  # a row per feature
         map(tuple, model.transform(variants).groupBy("feature").agg(change).collect())
     )
@@ -136,15 +140,31 @@ def merged_importance(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def chi_square(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    """Chi-square test of independence of each categorical column and a label."""
-    texts = df.select([F.col(c).cast("string").alias(c) for c in [*columns, label]])
-    fitted = indexer([*columns, label], "skip").fit(texts)
-    vectors = assemble([f"{c}_index" for c in columns]).transform(fitted.transform(texts))
-    tested = ChiSquareTest.test(vectors, "features", f"{label}_index", flatten=True)
-    names = F.array(*[F.lit(c) for c in columns])
-    return tested.select(
-        F.get(names, F.col("featureIndex")).alias("feature"),
-        F.col("statistic"),
-        F.col("degreesOfFreedom").alias("degrees_of_freedom"),
-        F.col("pValue").alias("p_value"),
+    """Chi-square test of independence of each categorical column and a label.
+
+    Worked out from counts per pair of categories, so any number of categories
+    will do. Rows that lack one of the columns are left out of all tests.
+    """
+    texts = df.select([F.col(c).cast("string").alias(c) for c in [*columns, label]]).dropna()
+    cells = (
+        texts.unpivot([label], list(columns), "feature", "category")
+        .groupBy("feature", "category", label).agg(F.count("*").cast("double").alias("o"))
     )
+    cells = materialise(cells, "cells")
+    by_row = cells.groupBy("feature", "category").agg(F.sum("o").alias("r"))
+    by_label = cells.groupBy("feature", label).agg(F.sum("o").alias("k"))
+    # a sum over filled cells is enough: empty ones add nothing to o * o / (r * k)
+    ratio = cells.join(by_row, ["feature", "category"]).join(by_label, ["feature", label]) \
+        .groupBy("feature").agg(F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("k"))).alias("s"),
+                                F.sum("o").alias("n"))
+    sizes = by_row.groupBy("feature").agg(F.count("*").alias("rows")).join(
+        by_label.groupBy("feature").agg(F.count("*").alias("labels")), "feature")
+    found = ratio.join(sizes, "feature").select(
+        "feature", (F.col("n") * (F.col("s") - 1)).alias("statistic"),
+        ((F.col("rows") - 1) * (F.col("labels") - 1)).alias("degrees_of_freedom"))
+    # a row per feature, so the tail of the distribution is worked out on the driver
+    rows = [(r["feature"], r["statistic"], r["degrees_of_freedom"],
+             chi_square_tail(r["statistic"], r["degrees_of_freedom"]) if r["degrees_of_freedom"] else 1.0)
+            for r in found.collect()]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, statistic double, degrees_of_freedom bigint, p_value double")

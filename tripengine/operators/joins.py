@@ -16,14 +16,29 @@ from pyspark.sql import functions as F
 
 from tripengine.session import materialise
 
+
+def one_per_key(dim: DataFrame, key: str) -> DataFrame:
+    """One row per key: the least of those that repeat it, nulls in it last."""
+    rest = [c for c in dim.columns if c != key]
+    ranked = F.struct(*[F.struct(F.col(c).isNull(), F.col(c).alias("value")).alias(c) for c in rest])
+    return dim.groupBy(key).agg(F.min(ranked).alias("least")).select(
+        key, *[F.col("least")[c]["value"].alias(c) for c in rest]
+    )
+
+
 def join_role(
-    fact: DataFrame, dim: DataFrame, key: str, fact_key: str, attributes: Mapping[str, str]
+    fact: DataFrame, dim: DataFrame, key: str, fact_key: str, attributes: Mapping[str, str],
+    unique: bool = False,
 ) -> DataFrame:
     """Left join of a dimension in one role.
 
     ``attributes`` maps dimension columns to their names in this role; the
-    dimension key is renamed to the fact's key and not repeated.
+    dimension key is renamed to the fact's key and not repeated. A dimension
+    that is not known to be ``unique`` in its key is brought to one row per
+    key first, so no fact row is repeated.
     """
+    if not unique:
+        dim = materialise(one_per_key(dim.select(key, *attributes), key), "dimension")
     side = dim.select(
         F.col(key).alias(fact_key), *[F.col(c).alias(n) for c, n in attributes.items()]
     )
@@ -66,8 +81,9 @@ def join_daily(
     fact: DataFrame, daily: DataFrame, date_column: str = "pickup_date",
     daily_date: str = "weather_date",
 ) -> DataFrame:
-    """Left join of a series with one row per day; the day is not repeated."""
-    return fact.join(daily.withColumnRenamed(daily_date, date_column), date_column, "left")
+    """Left join of a daily series; of rows that repeat a day the least is taken."""
+    series = materialise(one_per_key(daily, daily_date), "daily")
+    return fact.join(series.withColumnRenamed(daily_date, date_column), date_column, "left")
 
 
 def unmatched_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,11 +16,13 @@ from pyspark.ml.regression import (
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripengine.functions.predicates import hash_bucket
+from tripengine.operators.clean import hash_split
 from tripengine.operators.encode import assemble, encoding_stages
 
 SEED = 42
@@ -108,23 +112,42 @@ def cross_validate(
     pipeline: Pipeline, train: DataFrame, label: str, folds: int = 3,
     params: Mapping[str, Sequence] | None = None, parallelism: int = 4,
 ):
-    """K-fold cross-validation by R2 over a grid for the last stage."""
+    """K-fold cross-validation by R2 over a grid for the last stage.
+
+    A row's fold is a hash of its values, wherever it lies; equal rows share one.
+    """
     grid = _grid(pipeline.getStages()[-1], params or {})
+    dealt = train.withColumn("fold", hash_bucket(*train.columns, buckets=folds, salt="fold").cast("int"))
     return CrossValidator(
         estimator=pipeline, estimatorParamMaps=grid, evaluator=r2_evaluator(label),
-        numFolds=folds, seed=SEED, parallelism=parallelism,
-    ).fit(train)
+        numFolds=folds, foldCol="fold", parallelism=parallelism,
+    ).fit(dealt)
+
+
+class Validated(NamedTuple):
+    bestModel: PipelineModel
+    validationMetrics: list[float]
 
 
 def validate_split(
     pipeline: Pipeline, train: DataFrame, label: str, params: Mapping[str, Sequence],
     ratio: float = TRAIN_RATIO, parallelism: int = 4,
 ):
-    """One train/validation split by R2 over a grid for the last stage."""
-    return TrainValidationSplit(
-        estimator=pipeline, estimatorParamMaps=_grid(pipeline.getStages()[-1], params),
-        evaluator=r2_evaluator(label), trainRatio=ratio, seed=SEED, parallelism=parallelism,
-    ).fit(train)
+    """One train/validation split by R2 over a grid for the last stage.
+
+    Rows are split by a hash of their values, and the best parameters are
+    fitted on all rows.
+    """
+    grid, evaluator = _grid(pipeline.getStages()[-1], params), r2_evaluator(label)
+    fitted, held_out = hash_split(train, round(100 * ratio), *train.columns, salt="validation")
+    fitted, held_out = _kept(fitted), _kept(held_out)
+    with ThreadPool(min(parallelism, len(grid))) as pool:
+        found = pool.map(
+            lambda chosen: evaluator.evaluate(pipeline.fit(fitted, chosen).transform(held_out)), grid
+        )
+    fitted.unpersist()
+    held_out.unpersist()
+    return Validated(pipeline.fit(train, grid[max(range(len(grid)), key=found.__getitem__)]), found)
 
 
 def best_params(model: PipelineModel, names: Sequence[str]) -> dict[str, str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripengine.functions.tails import f_tail
 from tripengine.operators.clean import numeric_columns
 
 
@@ -33,10 +34,13 @@ def describe(df: DataFrame, *columns: str) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum, a row per column.
 
     Text columns have no mean and deviation; their extremes are in
-    ``min_text`` and ``max_text``.
+    ``min_text`` and ``max_text``. Without names all columns of these two
+    sorts are described; a named column of another sort is an error.
     """
     numeric = set(numeric_columns(df))
     text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    if other := [c for c in columns if c not in numeric | text]:
+        raise ValueError(f"neither numbers nor text: {', '.join(other)}")
     names = [c for c in columns or df.columns if c in numeric | text]
 
     def row(c: str):
@@ -168,4 +172,13 @@ def anova(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     f_value = F.try_divide(
         F.try_divide("ssb", "df_between"), F.try_divide("ssw", "df_within")
     )
-    return sums.select("feature", "df_between", "df_within", f_value.alias("f_statistic"))
+    found = sums.select("feature", "df_between", "df_within", f_value.alias("f_statistic"))
+    # a row per feature, so the tail of the distribution is worked out on the driver
+    rows = [
+        (*r, None if r["f_statistic"] is None
+         else f_tail(r["f_statistic"], r["df_between"], r["df_within"]))
+        for r in found.collect()
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, df_between bigint, df_within bigint, f_statistic double, p_value double"
+    )

@@ -1,9 +1,11 @@
 """Quantiles, quartile bounds, capping and box-plot numbers.
 
-Exact quantiles never hold a group in one task. Cut points taken from a
-bounded sketch spread the values over range buckets, counts per bucket tell
-which bucket holds a wanted rank, and only those buckets are looked at value
-by value. The cut points affect the balance alone, never the result.
+Exact quantiles never hold a group in one task. Cut points taken from bounded
+sketches, merged in two levels, spread the values over range buckets. Counts
+per bucket tell which bucket holds a wanted rank; a bucket with many rows is
+cut again by a sketch of its own rows, and what is left is looked at value by
+value, equal values counted together. The cut points affect the balance alone,
+never the result.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from tripengine.operators.joins import join_groups
 from tripengine.session import materialise
 
 BUCKETS = 4096
-SKETCH_ACCURACY = 10_000
+#: Sketches of tasks are merged in so many groups before the last merge.
+MERGES = 64
+#: Rows of a bucket that are looked at value by value; a larger one is cut again.
+HIT_ROWS = 1_000_000
 
 
 def _constant_array(numbers: Iterable[float]) -> Column:
@@ -27,6 +32,18 @@ def _constant_array(numbers: Iterable[float]) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").try_cast("array<double>")
 
 
+def _cut_points(values: DataFrame) -> set[float]:
+    """Fewer than BUCKETS values that part the rows about evenly, fetched once."""
+    steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGES))
+    sketches = values.filter(~F.isnan("value")).groupBy(part.alias("part")).agg(
+        F.kll_sketch_agg_double("value").alias("sketch")
+    )
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch")).filter("sketch IS NOT NULL")
+    found = merged.select(F.kll_sketch_get_quantile_double("sketch", steps)).first()
+    return set(found[0]) if found else set()
+
+
 def _range_buckets(values: DataFrame, cuts: Iterable[float]) -> DataFrame:
     """Add ``bucket``, the number of distinct cut points at or below ``value``."""
     inner = sorted({c for c in cuts if math.isfinite(c)})
@@ -43,6 +60,7 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     by: Sequence[str] = (),
     interpolate: bool = True,
+    hit_rows: int = HIT_ROWS,
 ) -> DataFrame:
     """Exact quantiles, one named column each, overall or per group.
 
@@ -54,22 +72,9 @@ def exact_quantiles(
     values = df.select(*by, F.col(column).cast("double").alias("value")).filter(
         F.col("value").isNotNull()
     )
-    steps = _constant_array(i / BUCKETS for i in range(1, BUCKETS))
-    # fetched once (fewer than BUCKETS numbers), so that every use sees the same
-    found = values.agg(F.percentile_approx("value", steps, SKETCH_ACCURACY)).first()[0]
-    bucketed = _range_buckets(values, found or [])
-
-    # at most BUCKETS rows per group
+    # a bounded number of rows per group
     per_group = Window.partitionBy(*by)
     earlier = per_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy(*by, "bucket")
-        .agg(F.count("*").alias("n"))
-        .withColumns({
-            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
-            "size": F.sum("n").over(per_group),
-        })
-    )
 
     def ranks(name: str, p: float) -> list[Column]:
         """The ranks that make up a quantile, with their weights."""
@@ -87,15 +92,32 @@ def exact_quantiles(
         ]
 
     wanted = [r for name, p in quantiles.items() for r in ranks(name, p)]
-    # two rows per group and quantile
-    targets = materialise(
-        totals.withColumn("target", F.explode(F.array(*wanted)))
-        .select(*by, "bucket", "before", "n", "target.*")
-        .withColumn("offset", F.col("rank") - F.col("before"))
-        .filter((F.col("offset") >= 0) & (F.col("offset") < F.col("n")))
-        .filter(F.col("weight") > 0),
-        "ranks",
-    )
+    cuts = _cut_points(values)
+    while True:
+        bucketed = _range_buckets(values, cuts)
+        totals = (
+            bucketed.groupBy(*by, "bucket")
+            .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .withColumns({
+                "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+                "size": F.sum("n").over(per_group),
+            })
+        )
+        # two rows per group and quantile
+        targets = materialise(
+            totals.withColumn("target", F.explode(F.array(*wanted)))
+            .select(*by, "bucket", "before", "n", "low", "high", "target.*")
+            .withColumn("offset", F.col("rank") - F.col("before"))
+            .filter((F.col("offset") >= 0) & (F.col("offset") < F.col("n")))
+            .filter(F.col("weight") > 0),
+            "ranks",
+        )
+        large = targets.filter((F.col("n") > hit_rows) & (F.col("low") < F.col("high")))
+        again = [r[0] for r in large.select("bucket").distinct().collect()]  # among the cuts' buckets
+        more = _cut_points(bucketed.filter(F.col("bucket").isin(again))) - cuts if again else set()
+        if not more:
+            break
+        cuts |= more
 
     # at most BUCKETS numbers: rows of all other buckets are not shuffled
     used = targets.agg(F.collect_set("bucket").alias("used"))

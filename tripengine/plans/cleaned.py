@@ -32,7 +32,7 @@ from tripengine.functions.geo import (
 from tripengine.functions.labels import code_label
 from tripengine.functions.predicates import above_up_to, in_none, positive
 from tripengine.operators.clean import round_half_even
-from tripengine.operators.joins import flag_calendar, join_daily, join_role
+from tripengine.operators.joins import flag_calendar, join_daily, join_role, one_per_key
 from tripengine.operators.quantiles import cap_upper, iqr_bounds
 from tripengine.session import materialise
 
@@ -82,12 +82,16 @@ def enrich(
 ) -> DataFrame:
     """Coordinates, distance, zones, holidays and weather: the cleaned table."""
     df = trips.filter(in_none(["PULocationID", "DOLocationID"], excluded_zones))
+    # written and unique before they are joined, so their size is known and no trip repeats
+    zones, centroids = (
+        materialise(one_per_key(dim, "LocationID"), "dimension") for dim in (zones, centroids)
+    )
     for role, key in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
         df = join_role(df, centroids, "LocationID", key, {
-            "latitude": f"{role}_latitude", "longitude": f"{role}_longitude"})
+            "latitude": f"{role}_latitude", "longitude": f"{role}_longitude"}, unique=True)
         df = join_role(df, zones, "LocationID", key, {
             "Borough": f"{role}_borough", "Zone": f"{role}_zone",
-            "service_zone": f"{role}_service_zone"})
+            "service_zone": f"{role}_service_zone"}, unique=True)
     df = df.withColumns({
         "distance_km": haversine_km(
             "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude"),

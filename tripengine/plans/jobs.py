@@ -6,7 +6,7 @@ of it, starts from storage.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -23,7 +23,7 @@ from tripengine.functions.labels import (
 )
 from tripengine.functions.predicates import any_null, in_none
 from tripengine.operators.clean import conform, hash_split
-from tripengine.operators.models import regression_pipeline, save_model, score
+from tripengine.operators.models import GRIDS, MODELS, regression_pipeline, save_model, score, tune
 from tripengine.plans.cleaned import (
     UNMAPPED_ZONES,
     clean,
@@ -32,7 +32,7 @@ from tripengine.plans.cleaned import (
     feature_table,
     model_table,
 )
-from tripengine.session import materialise
+from tripengine.session import add_input, job, materialise
 from tripengine.sources.files import (
     read_holidays,
     read_monthly,
@@ -70,6 +70,12 @@ def incomplete_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def cleaned_job(spark: SparkSession, inputs: Inputs, output: str) -> DataFrame:
     """Monthly trips, zones, shapes, holidays and weather to the cleaned table."""
+    with job(spark):
+        add_input(spark, *inputs.trip_paths)
+        return _cleaned(spark, inputs, output)
+
+
+def _cleaned(spark: SparkSession, inputs: Inputs, output: str) -> DataFrame:
     fmt, year = inputs.table_format, inputs.year
     shapes = read_stage(spark, inputs.zone_shapes, fmt)
     holidays = read_holidays(
@@ -91,7 +97,8 @@ def explored_job(
     spark: SparkSession, cleaned: str, output: str, fmt: str | None = None
 ) -> DataFrame:
     """The cleaned table without implausible values, for profiles and plots."""
-    write_stage(explored_table(read_stage(spark, cleaned, fmt)), output, fmt)
+    with job(spark):
+        write_stage(explored_table(read_stage(spark, cleaned, fmt)), output, fmt)
     return read_stage(spark, output, fmt)
 
 
@@ -99,10 +106,11 @@ def model_table_job(
     spark: SparkSession, cleaned: str, output: str, fmt: str | None = None
 ) -> DataFrame:
     """Filter, cap, bin and select the cleaned table for training."""
-    write_stage(
-        model_table(feature_table(read_stage(spark, cleaned, fmt))), output, fmt,
-        replace_schema=True,
-    )
+    with job(spark):
+        write_stage(
+            model_table(feature_table(read_stage(spark, cleaned, fmt))), output, fmt,
+            replace_schema=True,
+        )
     return read_stage(spark, output, fmt)
 
 
@@ -111,14 +119,37 @@ def training_job(
     model: str = "random_forest", encoding: str = "one_hot", fmt: str | None = None, **params,
 ) -> tuple[PipelineModel, DataFrame]:
     """Train on 80 percent of the key space, save the model, score the rest."""
-    train, test = hash_split(read_stage(spark, table, fmt), 80, *keys)
-    fitted = regression_pipeline(
-        model, encoding, schemas.CATEGORICAL, schemas.NUMERIC, schemas.LABEL, **params
-    ).fit(train)
-    save_model(fitted, output)
+    with job(spark):
+        train, test = hash_split(read_stage(spark, table, fmt), 80, *keys)
+        fitted = regression_pipeline(
+            model, encoding, schemas.CATEGORICAL, schemas.NUMERIC, schemas.LABEL, **params
+        ).fit(train)
+        save_model(fitted, output)
     return fitted, score(fitted, test)
 
 
+def tuning_job(
+    spark: SparkSession, table: str, model_path: str, board_path: str,
+    names: Sequence[str] = tuple(MODELS), encoding: str = "one_hot", fmt: str | None = None,
+    grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
+    keys: Sequence[str] = tuple(schemas.MODEL_COLUMNS),
+) -> tuple[PipelineModel, DataFrame]:
+    """Tune on 80 percent of the key space; store the best model and the leaderboard.
+
+    The best is the one with the highest validated R2.
+    """
+    with job(spark):
+        train, test = hash_split(read_stage(spark, table, fmt), 80, *keys)
+        board, best = tune(
+            spark, train, test, schemas.CATEGORICAL, schemas.NUMERIC, schemas.LABEL, names,
+            encoding, grids,
+        )
+        write_stage(board, board_path, fmt)
+        first = max(board.collect(), key=lambda r: r["validation_r2"])  # a row per model
+        save_model(best[first["model_name"]], model_path)
+    return best[first["model_name"]], read_stage(spark, board_path, fmt)
+
+
 def form_rows(form: DataFrame) -> DataFrame:
     """Rows of form labels as model inputs, in the codes of the training data."""
     return conform(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tripengine.functions.bins import (
     DISTANCE_CUTS,
     DISTANCE_LABELS,
+    FARE_CUTS,
+    FARE_LABELS,
     cut_bin,
     distance_bin,
     distance_category,
@@ -50,7 +52,13 @@ from tripengine.operators.quantiles import (
     sketch_quantiles,
 )
 from tripengine.plans import tripview as tv
-from tripengine.plans.queries_joins import ZONED_SQL, zoned_trips
+from tripengine.plans.queries_joins import (
+    ZONED_SQL,
+    counts_by_borough,
+    stored_zones,
+    zoned,
+    zoned_trips,
+)
 from tripengine.plans.queries_tables import BOUNDS_SQL, BUCKET_SQL
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
@@ -268,8 +276,12 @@ WITH {ZONED_SQL}
 SELECT pickup_service_zone, pickup_borough, count(PULocationID) AS pickup_count
 FROM zoned GROUP BY 1, 2""", "trips", "zones"))
 def agg_17(spark, sf):
-    return zoned_trips(spark, sf).groupBy("pickup_service_zone", "pickup_borough").agg(
-        F.count("PULocationID").alias("pickup_count")
+    by_id = tv.trips(spark, sf, "PULocationID").groupBy("PULocationID").agg(
+        F.count("PULocationID").alias("n")
+    )
+    named = zoned(by_id, stored_zones(spark, sf), "pickup")
+    return named.groupBy("pickup_service_zone", "pickup_borough").agg(
+        F.sum("n").alias("pickup_count")
     )
 
 
@@ -277,8 +289,8 @@ def agg_17(spark, sf):
 WITH {ZONED_SQL}
 SELECT dropoff_borough, count(*) AS dropoff_count FROM zoned GROUP BY 1""", "trips", "zones"))
 def agg_18(spark, sf):
-    return zoned_trips(spark, sf).groupBy("dropoff_borough").agg(
-        F.count("*").alias("dropoff_count")
+    return counts_by_borough(
+        spark, sf, "dropoff", "dropoff_count", "dropoff_borough"
     ).orderBy("dropoff_borough")
 
 
@@ -310,7 +322,8 @@ SELECT pickup_borough, round(avg(fare_amount), 4) AS avg_fare,
 FROM zoned GROUP BY 1""", "trips", "zones"))
 def agg_20(spark, sf):
     df = materialise(
-        zoned_trips(spark, sf, "fare_amount").select("pickup_borough", "fare_amount")
+        zoned_trips(spark, sf, "fare_amount", roles=["pickup"])
+        .select("pickup_borough", "fare_amount")
     )
     means = df.groupBy("pickup_borough").agg(F.round(F.avg("fare_amount"), 4).alias("avg_fare"))
     medians = exact_quantiles(
@@ -321,7 +334,7 @@ def agg_20(spark, sf):
 
 @query("agg_20_mean_and_sketched_median_by_key")
 def agg_20_sketch(spark, sf):
-    df = zoned_trips(spark, sf, "fare_amount")
+    df = zoned_trips(spark, sf, "fare_amount", roles=["pickup"])
     return df.groupBy("pickup_borough").agg(
         F.round(F.avg("fare_amount"), 4).alias("avg_fare"),
         F.percentile_approx("fare_amount", 0.5).alias("median_fare"),
@@ -334,7 +347,7 @@ SELECT CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, pickup_borough,
        quantile_disc(fare_amount, 0.5) AS median_fare
 FROM zoned GROUP BY 1, 2""", "trips", "zones"))
 def agg_21(spark, sf):
-    df = materialise(zoned_trips(spark, sf, "pickup_datetime", "fare_amount").select(
+    df = materialise(zoned_trips(spark, sf, "pickup_datetime", "fare_amount", roles=["pickup"]).select(
         F.hour("pickup_datetime").alias("pickup_hour"), "pickup_borough", "fare_amount"
     ))
     return exact_quantiles(
@@ -345,7 +358,7 @@ def agg_21(spark, sf):
 
 @query("agg_21_sketched_median_by_two_keys")
 def agg_21_sketch(spark, sf):
-    df = zoned_trips(spark, sf, "pickup_datetime", "fare_amount").withColumn(
+    df = zoned_trips(spark, sf, "pickup_datetime", "fare_amount", roles=["pickup"]).withColumn(
         "pickup_hour", F.hour("pickup_datetime")
     )
     return sketch_quantiles(
@@ -416,9 +429,9 @@ def agg_25(spark, sf):
 
 
 @query("agg_26_frequency_bins", with_tables("""
-SELECT CASE WHEN trip_distance < 2 THEN '0-2 km' WHEN trip_distance < 5 THEN '2-5 km'
-            WHEN trip_distance < 10 THEN '5-10 km' WHEN trip_distance < 20 THEN '10-20 km'
-            WHEN trip_distance >= 20 THEN '20+ km' END AS trip_distance_bin,
+SELECT CASE WHEN trip_distance < 2 THEN '0-2 miles' WHEN trip_distance < 5 THEN '2-5 miles'
+            WHEN trip_distance < 10 THEN '5-10 miles' WHEN trip_distance < 20 THEN '10-20 miles'
+            WHEN trip_distance >= 20 THEN '20+ miles' END AS trip_distance_bin,
        count(*) AS count
 FROM trips GROUP BY 1""", "trips"))
 def agg_26(spark, sf):
@@ -428,12 +441,25 @@ def agg_26(spark, sf):
     return value_counts(df, "trip_distance_bin")
 
 
+@query("agg_26_fare_frequency_bins", """
+SELECT CASE WHEN l_extendedprice < 10 THEN '$0-10' WHEN l_extendedprice < 20 THEN '$10-20'
+            WHEN l_extendedprice < 50 THEN '$20-50' WHEN l_extendedprice < 100 THEN '$50-100'
+            WHEN l_extendedprice >= 100 THEN '$100+' END AS fare_bin,
+       count(*) AS count
+FROM lineitem GROUP BY 1""")
+def agg_26_fares(spark, sf):
+    df = tv.trips(spark, sf, "fare_amount").withColumn(
+        "fare_bin", cut_bin("fare_amount", FARE_CUTS, FARE_LABELS)
+    )
+    return value_counts(df, "fare_bin")
+
+
 @query("agg_27_category_ladder", with_tables("""
-SELECT CASE WHEN trip_distance > 20 THEN 'Very High (>20 km)'
-            WHEN trip_distance >= 10 THEN 'High (10-20 km)'
-            WHEN trip_distance >= 5 THEN 'Average (5-10 km)'
-            WHEN trip_distance > 1 THEN 'Low (1-5 km)'
-            ELSE 'Very Low (<1 km)' END AS distance_category, count(*) AS count
+SELECT CASE WHEN trip_distance > 20 THEN 'Very High (>20 miles)'
+            WHEN trip_distance >= 10 THEN 'High (10-20 miles)'
+            WHEN trip_distance >= 5 THEN 'Average (5-10 miles)'
+            WHEN trip_distance > 1 THEN 'Low (1-5 miles)'
+            ELSE 'Very Low (<1 miles)' END AS distance_category, count(*) AS count
 FROM trips GROUP BY 1""", "trips"))
 def agg_27(spark, sf):
     df = tv.trips(spark, sf, "trip_distance").withColumn(
@@ -536,7 +562,19 @@ FROM (SELECT count(*) AS k, sum(n) AS total, sum(n * (m - grand) ** 2) AS ssb,
 def sta_02(spark, sf):
     columns = ["payment_type", "DOLocationID"]
     found = anova(tv.trips(spark, sf, *columns, "total_amount"), columns, "total_amount")
-    return rounded(found, 4, "f_statistic")
+    return rounded(found.drop("p_value"), 4, "f_statistic")
+
+
+@query("sta_02_tail_of_the_variance_test", with_tables(f"""
+WITH tested AS ({_anova_sql(["payment_type"]).replace("round(", "(").replace(", 4) AS f_statistic", ") AS f_statistic")}),
+x AS (SELECT *, df_within / (df_within + df_between * f_statistic) AS x, df_within / 2 AS b FROM tested)
+SELECT feature, round(list_sum(list_transform(range(df_between // 2), lambda i:
+         exp(b * ln(x) + lgamma(b + i) - lgamma(b) - lgamma(i + 1) + i * ln(1 - x)))), 6) AS p_value
+FROM x""", "trips"))
+def sta_02_tail(spark, sf):
+    """Five codes, so the upper degrees of freedom are even and the tail is a finite sum."""
+    found = anova(tv.trips(spark, sf, "payment_type", "total_amount"), ["payment_type"], "total_amount")
+    return rounded(found.select("feature", "p_value"), 6, "p_value")
 
 
 # pivots and plot data -----------------------------------------------------
@@ -567,9 +605,12 @@ GROUP BY ALL"""
 
 
 @query("agg_36_histogram", f"""
-SELECT bin, count, round(low + bin * width, 4) AS bin_start,
-       round(low + (bin + 1) * width, 4) AS bin_end
-FROM ({_histogram_sql("lineitem", "l_extendedprice", 50)})""")
+WITH counted AS ({_histogram_sql("lineitem", "l_extendedprice", 50)}),
+edges AS (SELECT min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem)
+SELECT CAST(b AS INTEGER) AS bin, coalesce(count, 0) AS count,
+       round(e.low + b * ((high - e.low) / 50), 4) AS bin_start,
+       round(e.low + (b + 1) * ((high - e.low) / 50), 4) AS bin_end
+FROM range(50) r(b), edges e LEFT JOIN counted c ON c.bin = b""")
 def agg_36(spark, sf):
     found = histogram(tv.read(spark, sf, "lineitem"), "l_extendedprice", 50)
     return rounded(found, 4, "bin_start", "bin_end")
@@ -612,7 +653,12 @@ def agg_37_all(spark, sf):
 WITH sampled AS (SELECT * FROM lineitem WHERE {BUCKET_SQL} < 5),
 tagged AS (SELECT 'Original' AS source, l_extendedprice AS v FROM lineitem
            UNION ALL SELECT 'Sampled', l_extendedprice FROM sampled),
-bins AS ({_histogram_sql("tagged", "v", 30, "source")})
+counted AS ({_histogram_sql("tagged", "v", 30, "source")}),
+edges AS (SELECT (max(v) - min(v)) / 30 AS width FROM tagged),
+bins AS (
+  SELECT s.source, CAST(b AS INTEGER) AS bin, coalesce(count, 0) AS count, e.width
+  FROM range(30) r(b), edges e, (VALUES ('Original'), ('Sampled')) s(source)
+  LEFT JOIN counted c ON c.bin = b AND c.source = s.source)
 SELECT source, bin, count, round(count / sum(count) OVER (PARTITION BY source), 6) AS share,
        round(count / sum(count) OVER (PARTITION BY source) / width, 10) AS density
 FROM bins""")
@@ -650,7 +696,10 @@ WITH {ZONED_SQL}
 SELECT pickup_zone, count(*) AS count FROM zoned GROUP BY 1
 ORDER BY count DESC, pickup_zone LIMIT 10""", "trips", "zones"))
 def top_01(spark, sf):
-    return top_k(zoned_trips(spark, sf), 10, "pickup_zone")
+    by_id = tv.trips(spark, sf, "PULocationID").groupBy("PULocationID").agg(F.count("*").alias("n"))
+    named = zoned(by_id, stored_zones(spark, sf), "pickup", names={"Zone": "zone"})
+    counts = named.groupBy("pickup_zone").agg(F.sum("n").alias("count"))
+    return counts.orderBy(F.desc("count"), "pickup_zone").limit(10)
 
 
 @query("top_02_zone_pairs", with_tables(f"""

@@ -13,6 +13,7 @@ from tripengine.operators.joins import (
     join_role,
     merge_counts,
     merge_scores,
+    one_per_key,
     unmatched_keys,
 )
 from tripengine.operators.profile import correlations_with, mean_score, variances
@@ -48,17 +49,36 @@ zoned AS (
   LEFT JOIN zones d ON d.LocationID = DOLocationID)"""
 
 
-def zoned_trips(spark, sf, *columns):
-    """Trips with borough, zone and service zone of both ends."""
-    dim = tv.zones(spark, sf)
-    wanted = list(dict.fromkeys([*columns, "PULocationID", "DOLocationID"]))
-    df = tv.trips(spark, sf, *wanted)
-    for role, key in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
-        names = {"Borough": "borough", "Zone": "zone", "service_zone": "service_zone"}
-        df = join_role(df, dim, "LocationID", key, {c: f"{role}_{n}" for c, n in names.items()})
+ENDS = {"pickup": "PULocationID", "dropoff": "DOLocationID"}
+ZONE_NAMES = {"Borough": "borough", "Zone": "zone", "service_zone": "service_zone"}
+
+
+def stored_zones(spark, sf):
+    """The zones, written before they are joined and one row per id."""
+    return materialise(one_per_key(tv.zones(spark, sf), "LocationID"), "zones")
+
+
+def zoned(df, dim, *roles, names=ZONE_NAMES):
+    """Columns of a unique zone table for the named ends."""
+    for role in roles:
+        mine = {c: f"{role}_{n}" for c, n in names.items()}
+        df = join_role(df, dim, "LocationID", ENDS[role], mine, unique=True)
     return df
 
 
+def zoned_trips(spark, sf, *columns, roles=tuple(ENDS)):
+    """Trips with borough, zone and service zone of the named ends, read for those only."""
+    wanted = list(dict.fromkeys([*columns, *[ENDS[r] for r in roles]]))
+    return zoned(tv.trips(spark, sf, *wanted), stored_zones(spark, sf), *roles)
+
+
+def counts_by_borough(spark, sf, role, count, key="borough"):
+    """Trips per borough of one end: counted by zone id, the few counts joined to zones."""
+    by_id = tv.trips(spark, sf, ENDS[role]).groupBy(ENDS[role]).agg(F.count("*").alias("n"))
+    named = zoned(by_id, stored_zones(spark, sf), role, names={"Borough": "borough"})
+    return named.groupBy(F.col(f"{role}_borough").alias(key)).agg(F.sum("n").alias(count))
+
+
 @query("join_02_zones_both_roles", with_tables(f"""
 WITH {ZONED_SQL}
 SELECT order_key, line_number, pickup_borough, pickup_zone, pickup_service_zone,
@@ -182,10 +202,9 @@ SELECT coalesce(p.b, d.b) AS borough, coalesce(p.n, 0) AS pickup_count,
        coalesce(d.n, 0) AS dropoff_count
 FROM p FULL OUTER JOIN d ON p.b IS NOT DISTINCT FROM d.b""", "trips", "zones"))
 def join_07(spark, sf):
-    df = zoned_trips(spark, sf)
-    pickups = df.groupBy("pickup_borough").agg(F.count("*").alias("pickup_count"))
-    dropoffs = df.groupBy("dropoff_borough").agg(F.count("*").alias("dropoff_count"))
-    return merge_counts(pickups, dropoffs, "pickup_borough", "dropoff_borough", "borough")
+    pickups = counts_by_borough(spark, sf, "pickup", "pickup_count")
+    dropoffs = counts_by_borough(spark, sf, "dropoff", "dropoff_count")
+    return merge_counts(pickups, dropoffs, "borough", "borough", "borough")
 
 
 @query("join_08_counts_per_zone", with_tables(f"""
@@ -194,9 +213,7 @@ p AS (SELECT pickup_borough AS b, count(*) AS pickup_count FROM zoned GROUP BY 1
 SELECT LocationID, Zone, Borough, pickup_count FROM zones LEFT JOIN p ON b = Borough""",
     "trips", "zones"))
 def join_08(spark, sf):
-    counts = zoned_trips(spark, sf).groupBy(F.col("pickup_borough").alias("Borough")).agg(
-        F.count("*").alias("pickup_count")
-    )
+    counts = counts_by_borough(spark, sf, "pickup", "pickup_count", "Borough")
     return tv.zones(spark, sf).join(counts, "Borough", "left").select(
         "LocationID", "Zone", "Borough", "pickup_count"
     )

@@ -17,8 +17,9 @@ from tripengine import schemas
 from tripengine.operators import encode, importance, models
 from tripengine.operators.clean import hash_split
 from tripengine.plans import tripview as tv
-from tripengine.plans.cleaned import bin_features
-from tripengine.plans.queries_joins import KEYS, zoned_trips
+from tripengine.plans.cleaned import model_table
+from tripengine.plans.queries_columns import stored_features
+from tripengine.plans.queries_joins import KEYS
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
 from tripengine.session import materialise, scratch
@@ -217,11 +218,31 @@ def mdl_04(spark, sf):
 
 @query("mdl_05_kmeans_on_coordinates")
 def mdl_05(spark, sf):
-    places = tv.centroids(spark, sf).withColumnRenamed("LocationID", "PULocationID")
+    places = materialise(tv.centroids(spark, sf), "centroids").withColumnRenamed(
+        "LocationID", "PULocationID")
     df = tv.trips(spark, sf, *KEYS, "PULocationID").join(places, "PULocationID", "left")
     return models.cluster_points(materialise(df, "places"), ["latitude", "longitude"])
 
 
+@query("mdl_05_kmeans_of_two_places", with_tables("""
+SELECT order_key, line_number, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude
+FROM trips JOIN centroids ON LocationID = PULocationID
+WHERE LocationID IN (SELECT min(LocationID) FROM centroids UNION SELECT max(LocationID) FROM centroids)""",
+    "trips", "centroids"))
+def mdl_05_exact(spark, sf):
+    """With a cluster for each of two places, every point is its cluster's centre."""
+    every = materialise(tv.centroids(spark, sf), "centroids")
+    ends = every.agg(F.min("LocationID").alias("a"), F.max("LocationID").alias("b")).first()
+    places = every.filter(F.col("LocationID").isin(list(ends))).withColumnRenamed(
+        "LocationID", "PULocationID")
+    df = materialise(tv.trips(spark, sf, *KEYS, "PULocationID").join(places, "PULocationID"), "places")
+    columns = ["latitude", "longitude"]
+    found = models.cluster_points(df, columns, k=places.count())
+    centres = found.groupBy("prediction").agg(*[F.avg(c).alias(c) for c in columns])
+    return found.drop(*columns).join(centres, "prediction").select(
+        *KEYS, *[F.round(c, 6).alias(c) for c in columns])
+
+
 def target_mean_line() -> Pipeline:
     """Target-mean code and a line through it: the mean of each category."""
     return Pipeline(stages=[
@@ -299,25 +320,12 @@ def evl_01(spark, sf):
 
 
 def model_rows(spark, sf):
-    """Trips with the 12 model inputs and the label, split by key."""
-    day, ts = "is_holiday", "pickup_datetime"
-    df = zoned_trips(
-        spark, sf, *KEYS, ts, "passenger_count", "payment_type", "trip_duration",
-        "trip_distance", LABEL,
-    )
-    df = bin_features(df.withColumns({
-        "pickup_hour": F.hour(ts), "pickup_month": F.month(ts),
-        "pickup_day_of_week": F.dayofweek(ts),
-        day: F.date_format(ts, "MM-dd").isin("01-01", "07-04", "11-11", "12-25").cast("int"),
-        "payment_type": F.col("payment_type").cast("int"),
-        "temp": F.lit(None).cast("double"),
-    }))
-    return materialise(df.select(*KEYS, *schemas.MODEL_COLUMNS), "model-rows")
+    """The project's model table: cleaned, capped and binned trips."""
+    return materialise(model_table(stored_features(spark, sf)), "model-rows")
 
 
 def model_parts(spark, sf):
-    train, test = hash_split(model_rows(spark, sf), 80, *KEYS)
-    return train.drop(*KEYS), test.drop(*KEYS)
+    return hash_split(model_rows(spark, sf), 80, *schemas.MODEL_COLUMNS)
 
 
 def _board(df):
@@ -335,12 +343,45 @@ def evl_02(spark, sf):
     ))
 
 
+_ONE_CODE = """
+tagged AS (
+  SELECT payment_type, total_amount, CAST('0x' || substr(md5(payment_type || '|' || order_key || '|'
+           || line_number), 1, 8) AS BIGINT) AS h, order_key, line_number
+  FROM trips WHERE payment_type IS NOT NULL)"""
+
+
+def _one_code(spark, sf):
+    """One categorical input, split by a hash of the row's keys."""
+    df = stored_trips(spark, sf, "payment_type", *KEYS, LABEL).dropna(subset=["payment_type"])
+    parts = hash_split(df, 80, "payment_type", *KEYS)
+    return [p.select("payment_type", LABEL) for p in parts]
+
+
+@query("evl_02_leaderboard_of_group_means", with_tables(f"""
+WITH {_ONE_CODE},
+means AS (SELECT payment_type AS k, avg(total_amount) AS m FROM tagged WHERE h % 100 < 80 GROUP BY 1),
+held AS (SELECT total_amount AS y, m AS p FROM tagged JOIN means ON k = payment_type WHERE h % 100 >= 80)
+SELECT encoding, model_name, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 4) AS r2,
+       round(avg(abs(y - p)), 2) AS mae, round(sqrt(avg((y - p) ** 2)), 2) AS rmse
+FROM held, (VALUES ('one_hot'), ('target_mean')) e(encoding),
+     (VALUES ('linear_reg'), ('decision_tree')) m(model_name)
+GROUP BY 1, 2""", "trips"))
+def evl_02_means(spark, sf):
+    """With one category as the only input these models predict its mean."""
+    train, test = _one_code(spark, sf)
+    return models.leaderboard(
+        spark, train, test, ["payment_type"], [], LABEL, ["one_hot", "target_mean"],
+        ["linear_reg", "decision_tree"],
+    ).select("encoding", "model_name", F.round("r2", 4).alias("r2"), F.round("mae", 2).alias("mae"),
+             F.round("rmse", 2).alias("rmse"))
+
+
 @query("tun_01_cross_validation")
 def tun_01(spark, sf):
     train, test = model_parts(spark, sf)
     return _board(models.leaderboard(
         spark, train, test, schemas.CATEGORICAL, schemas.NUMERIC, LABEL,
-        ["one_hot"], ["linear_reg", "decision_tree"], folds=3,
+        encode.ENCODINGS, list(models.MODELS), folds=3,
     ))
 
 
@@ -364,7 +405,7 @@ def tun_03(spark, sf):
 
 @query("tun_04_best_parameters")
 def tun_04(spark, sf):
-    board, _ = _tuned(spark, sf, "linear_reg")
+    board, _ = _tuned(spark, sf, *models.MODELS)
     return board.select("model_name", F.explode("hyperparameters").alias("parameter", "value"))
 
 
@@ -375,7 +416,7 @@ def tun_04(spark, sf):
 def importance_frame(spark, sf):
     """Encoded and scaled trips with their feature names, kept for several fits."""
     pipeline, names = encode.importance_inputs(schemas.CATEGORICAL, schemas.NUMERIC, LABEL)
-    df = model_rows(spark, sf).drop(*KEYS)
+    df = model_rows(spark, sf)
     prepared = pipeline.fit(df).transform(df).select("features", LABEL, *names).persist()
     try:
         yield prepared, names
@@ -414,7 +455,7 @@ def imp_04(spark, sf):
 @query("imp_05_permutation_importance")
 def imp_05(spark, sf):
     with importance_frame(spark, sf) as (df, names):
-        _, model = importance.forest_importance(df, names, LABEL, trees=10)
+        _, model = importance.forest_importance(df, names, LABEL)
         found = importance.permutation_importance(df, model, names)
         return _rounded(found, "permutation_importance")
 
@@ -422,12 +463,12 @@ def imp_05(spark, sf):
 @query("imp_06_merged_importance")
 def imp_06(spark, sf):
     with importance_frame(spark, sf) as (df, names):
-        forest, model = importance.forest_importance(df, names, LABEL, trees=10)
+        forest, model = importance.forest_importance(df, names, LABEL)
         merged = importance.merged_importance({
             "rf_importance": forest,
-            "gbt_importance": importance.boosting_importance(df, names, LABEL, iterations=5),
+            "gbt_importance": importance.boosting_importance(df, names, LABEL),
             "lasso_importance": importance.lasso_importance(df, names, LABEL),
-            "rfe_score": importance.ranked_elimination(df, names, LABEL, trees=10),
+            "rfe_score": importance.ranked_elimination(df, names, LABEL),
             "permutation_importance": importance.permutation_importance(df, model, names),
         })
         return _rounded(merged, "average_importance")
@@ -436,7 +477,7 @@ def imp_06(spark, sf):
 def _chi_square_sql(columns, label):
     complete = " AND ".join(f"{c} IS NOT NULL" for c in [*columns, label])
     return "\nUNION ALL\n".join(f"""
-SELECT '{c}' AS feature, round(n * (sum(o * o * 1.0 / (r * k)) - 1), 4) AS statistic,
+SELECT '{c}' AS feature, n * (sum(o * o * 1.0 / (r * k)) - 1) AS statistic,
        CAST((count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) AS BIGINT) AS degrees_of_freedom
 FROM (SELECT *, sum(o) OVER (PARTITION BY a) AS r, sum(o) OVER (PARTITION BY b) AS k,
              sum(o) OVER () AS n
@@ -445,12 +486,17 @@ FROM (SELECT *, sum(o) OVER (PARTITION BY a) AS r, sum(o) OVER (PARTITION BY b)
 GROUP BY n""" for c in columns)
 
 
-@query("sta_01_chi_square", with_tables(
-    _chi_square_sql(["DOLocationID", "passenger_count"], "payment_type"), "trips"))
+# five codes: the degrees of freedom are even, and the tail is a finite sum
+@query("sta_01_chi_square", with_tables(f"""
+WITH tested AS ({_chi_square_sql(["DOLocationID", "passenger_count"], "payment_type")})
+SELECT feature, round(statistic, 4) AS statistic, degrees_of_freedom,
+       round(list_sum(list_transform(range(degrees_of_freedom // 2), lambda i:
+         exp(i * ln(statistic / 2) - statistic / 2 - lgamma(i + 1)))), 6) AS p_value
+FROM tested""", "trips"))
 def sta_01(spark, sf):
     columns = ["DOLocationID", "passenger_count"]
     found = importance.chi_square(
         tv.trips(spark, sf, *columns, "payment_type"), columns, "payment_type"
     )
     return found.select("feature", F.round("statistic", 4).alias("statistic"),
-                        F.col("degrees_of_freedom").cast("bigint").alias("degrees_of_freedom"))
+                        "degrees_of_freedom", F.round("p_value", 6).alias("p_value"))

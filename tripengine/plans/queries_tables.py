@@ -17,14 +17,14 @@ from tripengine.operators.clean import (
     numeric_columns,
     round_half_even,
 )
-from tripengine.operators.joins import join_role
+from tripengine.operators.joins import join_role, one_per_key
 from tripengine.operators.models import metrics
 from tripengine.operators.profile import correlation_scores, shape
 from tripengine.operators.quantiles import iqr_bounds, outliers
 from tripengine.plans import tripview as tv
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
-from tripengine.session import scratch
+from tripengine.session import materialise, scratch
 from tripengine.sources.files import (
     lookup_table,
     monthly_paths,
@@ -183,10 +183,11 @@ def src_08(spark, sf):
     labels = lookup_table(
         spark, PAYMENT_LABELS, schemas.table(code=schemas.INT, label=schemas.TEXT)
     )
-    trips = tv.trips(spark, sf, "payment_type").withColumn(
-        "code", F.col("payment_type").try_cast("int")
-    )
-    return trips.join(labels, "code", "left").groupBy("label").agg(F.count("*").alias("n"))
+    # counted per code first: a literal table has no known size, so the join shuffles
+    counts = tv.trips(spark, sf, "payment_type").groupBy(
+        F.col("payment_type").try_cast("int").alias("code")
+    ).agg(F.count("*").alias("n"))
+    return counts.join(labels, "code", "left").groupBy("label").agg(F.sum("n").alias("n"))
 
 
 @query("src_09_result_rows", with_tables("""
@@ -406,10 +407,11 @@ COORDINATES = {
 
 def located_trips(spark, sf, *columns):
     """Trips with the coordinates of both ends; null for zones off the map."""
-    places = tv.centroids(spark, sf)
+    places = materialise(one_per_key(tv.centroids(spark, sf), "LocationID"), "centroids")
     df = tv.trips(spark, sf, *columns)
     for i, key in enumerate(["PULocationID", "DOLocationID"]):
-        df = join_role(df, places, "LocationID", key, {c: n[i] for c, n in COORDINATES.items()})
+        names = {c: n[i] for c, n in COORDINATES.items()}
+        df = join_role(df, places, "LocationID", key, names, unique=True)
     return df
 
 

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripengine.session import prepare, size_to_input
+from tripengine.session import begin_sizing, prepare
 
 
 class Query(NamedTuple):
@@ -27,8 +27,7 @@ def query(name: str, oracle: str | None = None):
 
         @wraps(f)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            prepare(spark)
-            size_to_input(spark, sf_dir)
+            begin_sizing(prepare(spark))
             return f(spark, sf_dir)
 
         QUERIES[name] = Query(run, oracle)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripengine import schemas
+from tripengine.session import add_input
 
 DAY_SECONDS = 86_400
 
@@ -20,7 +21,9 @@ _FROM_PART = {"trip_distance"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    add_input(spark, path)
+    return spark.read.parquet(path)
 
 
 def _moment(day: str, key: str, step: int):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,32 +29,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_BYTES = 1 << 30
-MOST_PARTITIONS = 32_768
-SCAN_BYTES = 128 << 20
-MOST_SCAN_TASKS = 200_000
+#: Input bytes for each partition a shuffle starts with. Adaptive execution merges
+#: partitions that turn out small but never makes more of them.
+SHUFFLE_BYTES = 256 << 20
+_INPUT = "tripengine.input.bytes"
+_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_to_input(spark: SparkSession, folder: str) -> int:
-    """Choose the task counts of scans and shuffles by the bytes to be read.
+def begin_sizing(spark: SparkSession) -> None:
+    """Forget the inputs counted so far: a new query or job begins."""
+    spark.conf.set(_INPUT, "0")
+    spark.conf.set(_PARTITIONS, spark.conf.get("spark.sql.shuffle.partitions"))
 
-    A shuffle starts with a partition per GB of input. Adaptive execution
-    merges partitions that turn out small but never makes more of them, so
-    the start has to grow with the data; the session's own
-    ``spark.sql.shuffle.partitions`` is the least. Beyond 25 TB the splits of
-    a scan grow too, as map tasks times partitions is the number of blocks.
+
+def add_input(spark: SparkSession, *paths: str) -> int:
+    """Count tables about to be read, and start shuffles with partitions for them.
+
+    The session's own ``spark.sql.shuffle.partitions`` is the least. Scans are
+    left alone, so that rows lie in the same splits at every size.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(path).getLength()
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(least, min(MOST_PARTITIONS, size // SHUFFLE_BYTES))
-    spark.conf.set(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
-    )
-    split = max(SCAN_BYTES, size // MOST_SCAN_TASKS)
-    if split > SCAN_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    size = int(spark.conf.get(_INPUT, "0"))
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    spark.conf.set(_INPUT, str(size))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHUFFLE_BYTES))
+    spark.conf.set(_PARTITIONS, str(partitions))
     return partitions
 
 
@@ -67,16 +69,45 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tripengine-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Working paths of this process that nobody has removed yet.
+_working: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for one written table."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _working.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove working tables, all or those made after the first ``since``.
+
+    To be called when nothing reads them any more, as after a query's result
+    has been fetched or written.
+    """
+    for path in _working[since:]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _working[since:]
+
+
+@contextmanager
+def job(spark: SparkSession):
+    """Settings of a job, and the end of the working tables it makes."""
+    since = len(_working)
+    begin_sizing(prepare(spark))
+    try:
+        yield spark
+    finally:
+        clear_scratch(spark, since)
 
 
 def materialise(df: DataFrame, name: str = "derived") -> DataFrame:

@@ -86,7 +86,11 @@ def write_stage(
 
 
 def lookup_table(spark: SparkSession, mapping: Mapping, schema: T.StructType) -> DataFrame:
-    """A small literal lookup as a table with a declared schema."""
+    """A small literal lookup as a table with a declared schema.
+
+    Spark does not know how small it is: count or group the other side first,
+    or ``materialise`` the lookup, before joining it to a large table.
+    """
     return spark.createDataFrame(list(mapping.items()), schema)
 
 
