@@ -125,13 +125,26 @@ def test_histogram_partitions_the_rows(mixed):
     values = mixed.toPandas()["v"].dropna()
     want, edges = np.histogram(values, bins=10)
     got = {r.bin: (r["count"], r.bin_start, r.bin_end) for r in found.collect()}
-    assert {b: c for b, (c, _, _) in got.items()} == {i: n for i, n in enumerate(want) if n}
+    assert {b: c for b, (c, _, _) in got.items()} == dict(enumerate(want))
     assert got[0][1] == pytest.approx(edges[0]) and got[0][2] == pytest.approx(edges[1])
 
 
 def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "v double")
-    assert [(r.bin, r["count"]) for r in aggregate.histogram(df, "v", 5).collect()] == [(0, 2)]
+    found = {r.bin: r["count"] for r in aggregate.histogram(df, "v", 5).collect()}
+    assert found == {0: 2, 1: 0, 2: 0, 3: 0, 4: 0}
+    assert aggregate.histogram(df.filter("v > 5"), "v", 5).collect() == []
+
+
+def test_exact_quantiles_cut_large_buckets_again(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "BUCKETS", 4)
+    df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN 7D ELSE pow(id % 977, 2) END AS v", "id % 2 AS g")
+    pdf = df.toPandas()
+    for by in ([], ["g"]):
+        got = quantiles.exact_quantiles(df, "v", {"q": 0.37, "m": 0.5}, by, hit_rows=20).toPandas()
+        for _, row in got.iterrows():
+            mine = pdf if not by else pdf[pdf["g"] == row["g"]]
+            assert (row["q"], row["m"]) == pytest.approx((mine["v"].quantile(0.37), mine["v"].median()))
 
 
 def test_distributions_have_densities_that_integrate_to_one(mixed):
@@ -172,6 +185,8 @@ def test_describe_matches_pandas(mixed):
     assert (v["count"], v["mean"], v["stddev"], v["min"], v["max"]) == pytest.approx(
         (want["count"], want["mean"], want["std"], want["min"], want["max"]))
     assert got["g"].min_text == "empty" and got["g"].mean is None
+    with pytest.raises(ValueError, match="neither"):
+        profile.describe(mixed.withColumn("d", F.current_date()), "d")
 
 
 def test_moments_match_population_formulas(spark):
@@ -206,6 +221,7 @@ def test_anova_matches_the_textbook(spark):
     df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, y double")
     row = profile.anova(df, ["k"], "y").first()
     assert (row.df_between, row.df_within) == (2, 15) and row.f_statistic == pytest.approx(9.3, abs=0.05)
+    assert row.p_value == pytest.approx((1 + 2 * row.f_statistic / 15) ** -7.5)
 
 
 def test_normalise(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tripengine.functions import bins, calendar, geo, labels, predicates
+from tripengine.functions import bins, calendar, geo, labels, predicates, tails
 
 
 def column(spark, values, kind):
@@ -86,7 +86,7 @@ def test_near_airport_counts_null_as_no(spark):
 def test_cut_bins_are_left_closed_and_keep_null(spark):
     df = column(spark, [1.9, 2.0, 20.0, None], "double")
     got = df.select(bins.cut_bin("c", bins.DISTANCE_CUTS, bins.DISTANCE_LABELS)).collect()
-    assert [r[0] for r in got] == ["0-2 km", "2-5 km", "20+ km", None]
+    assert [r[0] for r in got] == ["0-2 miles", "2-5 miles", "20+ miles", None]
     with pytest.raises(ValueError):
         bins.cut_bin("c", [1, 2], ["a", "b"])
 
@@ -95,6 +95,25 @@ def test_category_ladder_puts_one_and_null_lowest(spark):
     df = column(spark, [1.0, 1.1, 5.0, 10.0, 20.0, 20.1, None], "double")
     got = [r[0].split(" (")[0] for r in df.select(bins.distance_category("c")).collect()]
     assert got == ["Very Low", "Low", "Average", "High", "High", "Very High", "Very Low"]
+    assert df.select(bins.distance_category("c", "km")).first()[0] == "Very Low (<1 km)"
+
+
+def test_buckets_of_null_keys_and_other_salts(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    one, other = (r[0] for r in df.select(predicates.hash_bucket("x", "y", buckets=1 << 30)).collect())
+    assert one != other
+    ids = spark.range(4000).withColumn("first", predicates.hash_bucket("id"))
+    part = ids.filter("first < 50").withColumn("again", predicates.hash_bucket("id", salt="s"))
+    assert part.filter("again >= 50").count() > 700
+
+
+def test_tails_of_distributions():
+    assert tails.chi_square_tail(4.0, 1) == pytest.approx(0.0455003, abs=1e-6)
+    assert tails.chi_square_tail(96, 96) == pytest.approx(
+        sum(math.exp(i * math.log(48) - 48 - math.lgamma(i + 1)) for i in range(48)), rel=1e-9)
+    assert tails.chi_square_tail(0.0, 5) == 1 and tails.chi_square_tail(5000, 3) == pytest.approx(0, abs=1e-12)
+    assert tails.f_tail(9.3, 2, 15) == pytest.approx((1 + 2 * 9.3 / 15) ** -7.5, rel=1e-9)
+    assert tails.f_tail(1.0, 7, 7) == pytest.approx(0.5) and tails.f_tail(0.0, 2, 3) == 1
 
 
 def test_width_buckets_floor_below_zero(spark):

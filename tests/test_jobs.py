@@ -1,5 +1,6 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,13 @@ from pyspark.sql import functions as F
 from tripengine import schemas
 from tripengine.operators.models import load_model
 from tripengine.plans import jobs
+from tripengine.session import shared_folder
 from tripengine.sources.files import monthly_paths, result_table
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
 BOROUGHS = ["Manhattan", "Brooklyn", "Queens"]
 
 
@@ -61,6 +67,7 @@ def inputs(spark, tmp_path_factory):
 
 
 def test_from_files_to_a_scored_row(spark, inputs, tmp_path):
+    before = {p.name.partition("-")[0] for p in Path(shared_folder(spark)).iterdir()}
     cleaned_path, table_path, model_path = (str(tmp_path / n) for n in ("c", "t", "m"))
     cleaned = jobs.cleaned_job(spark, inputs, cleaned_path)
     # 600 trips, at most a few of them drawn twice; copies and bad rows are gone
@@ -82,6 +89,17 @@ def test_from_files_to_a_scored_row(spark, inputs, tmp_path):
     _, held_out = jobs.training_job(spark, table_path, model_path, numTrees=5, maxDepth=5)
     assert held_out.count() > 0
 
+    grids = {"linear_reg": {"regParam": [0.01, 10.0]}, "decision_tree": {"maxDepth": [2, 5]}}
+    best_path, board_path = str(tmp_path / "best"), str(tmp_path / "board")
+    best, board = jobs.tuning_job(spark, table_path, best_path, board_path, list(grids), grids=grids)
+    found = {r.model_name: r for r in board.collect()}
+    assert set(found) == set(grids) and found["linear_reg"].hyperparameters == {"regParam": "0.01"}
+    assert rows_of(jobs.scoring_job(load_model(best_path), table.limit(5))) == rows_of(
+        jobs.scoring_job(best, table.limit(5)))
+    # what the jobs wrote on the way is gone: dimensions, daily series, centroids
+    left = {p.name.partition("-")[0] for p in Path(shared_folder(spark)).iterdir()}
+    assert not left & {"dimension", "daily", "centroids", "rounded"} - before
+
     form = (1, 1, 20.37, 2, 8, 10, "Manhattan", "Brooklyn", 0, "Medium", "Morning", 0)
     rows = result_table(spark, [form, (*form[:6], "Nowhere", *form[7:10], "Night", 0)],
                         schemas.SCORING_ROW)

@@ -45,6 +45,17 @@ def test_a_missing_weather_day_is_null(spark):
     assert [r.temp for r in out.orderBy("pickup_date").collect()] == [9.1, None]
 
 
+def test_repeated_keys_do_not_repeat_trips(spark):
+    fact = spark.sql("SELECT 1 id, 7 PU, date'2023-01-01' pickup_date")
+    dim = spark.createDataFrame([(7, "B", None), (7, "A", "z"), (7, None, "a")],
+                                "LocationID int, Borough string, Zone string")
+    out = joins.join_role(fact, dim, "LocationID", "PU", {"Borough": "b", "Zone": "z"})
+    assert rows(out.select("id", "b", "z")) == [(1, "A", "z")]
+    daily = spark.sql("SELECT date'2023-01-01' weather_date, 9.1D temp UNION ALL "
+                      "SELECT date'2023-01-01', 8.0D UNION ALL SELECT date'2023-01-01', NULL")
+    assert [r.temp for r in joins.join_daily(fact, daily).collect()] == [8.0]
+
+
 def test_unmatched_keys(spark):
     fact = spark.createDataFrame([(1,), (264,), (264,)], "PULocationID int")
     dim = spark.createDataFrame([(1,)], "LocationID int")

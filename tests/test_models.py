@@ -104,6 +104,17 @@ def test_cross_validation_and_tuning(spark, parts):
     assert set(best) == set(grids)
 
 
+def test_folds_and_splits_do_not_depend_on_layout(parts):
+    train = parts[0].select("zone", "minutes", "fare")
+    pipeline = models.regression_pipeline("linear_reg", "ordinal", ["zone"], ["minutes"], "fare")
+    grid = {"regParam": [0.01, 50.0]}
+    for search in (models.cross_validate, models.validate_split):
+        options = {"params": grid}
+        one, other = (search(pipeline, df, "fare", **options) for df in (train, train.repartition(7)))
+        scores = [r.avgMetrics if hasattr(r, "avgMetrics") else r.validationMetrics for r in (one, other)]
+        assert scores[0] == pytest.approx(scores[1], rel=1e-9)
+
+
 def test_saved_model_scores_an_unseen_label(spark, parts, tmp_path):
     train, test = parts
     model = models.regression_pipeline(

@@ -117,8 +117,37 @@ def test_every_oracle_has_a_query():
     assert len(oracles) > 100
 
 
+@needs_tables
+@pytest.mark.parametrize(("name", "unread"), [
+    ("agg_18_count_by_borough", {"orders", "customer"}),
+    *((name, {"supplier"}) for name in (
+        "fares_by_pickup_borough", "agg_17_count_of_ids_by_borough", "agg_20_mean_and_median_by_key",
+        "agg_21_median_by_two_keys", "join_08_counts_per_zone", "top_01_pickup_zones")),
+])
+def test_queries_read_only_the_tables_they_need(spark, monkeypatch, name, unread):
+    read, plain = set(), tv.read
+
+    def noted(session, folder, table):
+        read.add(table)
+        return plain(session, folder, table)
+
+    monkeypatch.setattr(tv, "read", noted)
+    contract.queries()[name](spark, SF)
+    assert "lineitem" in read and not read & unread
+
+
+@needs_tables
+def test_a_literal_lookup_does_not_shuffle_the_trips(spark):
+    df = contract.queries()["src_08_literal_lookup"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Join LeftOuter")
+    assert "Aggregate" in above and "Aggregate" in below
+
+
 def sources():
-    return sorted((ROOT / "tripengine").rglob("*.py"))
+    """The library without the text operators, which have tests of their own."""
+    found = sorted((ROOT / "tripengine").rglob("*.py"))
+    return [p for p in found if "llm" not in p.relative_to(ROOT).parts]
 
 
 def test_the_package_has_no_hints_and_no_python_row_functions():

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from tripengine import session
@@ -40,13 +42,27 @@ def test_a_materialised_table_has_its_true_size(spark):
     assert int(str(size)) < 100_000
 
 
-def test_task_counts_follow_the_input(spark, tmp_path, monkeypatch):
+def test_task_counts_follow_the_tables_read(spark, tmp_path, monkeypatch):
     spark.range(10_000).write.parquet(str(tmp_path / "t"))
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scan = spark.conf.get("spark.sql.files.maxPartitionBytes")
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert session.size_to_input(spark, str(tmp_path)) == least == int(spark.conf.get(name))
-    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
-    assert session.size_to_input(spark, str(tmp_path)) > least
-    monkeypatch.setattr(session, "MOST_PARTITIONS", 9)
-    assert session.size_to_input(spark, str(tmp_path)) == 9
+    session.begin_sizing(spark)
+    assert session.add_input(spark, str(tmp_path / "t")) == least == int(spark.conf.get(name))
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 10)
+    many = session.add_input(spark, str(tmp_path / "t"))
+    assert many > 1000 and session.add_input(spark, str(tmp_path / "t")) > many
+    session.begin_sizing(spark)
+    assert int(spark.conf.get(name)) == least
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == scan
     spark.conf.unset(name)
+
+
+def test_a_job_pins_settings_and_leaves_no_working_tables(spark, tmp_path):
+    folder = session.shared_folder(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    with session.job(spark):
+        made = session.materialise(spark.range(3), "gone")
+        assert made.count() == 3 and list(Path(folder).glob("gone-*"))
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert not list(Path(folder).glob("gone-*"))

@@ -102,11 +102,33 @@ def test_closed_rings_and_holes(spark, chunk):
     closed = [*RECTANGLE, (1, 0, 4, 0.0, 0.0)]
     # a hole in the upper half, wound the other way round
     hole = [(1, 1, 0, 0.5, 2.5), (1, 1, 1, 0.5, 3.5), (1, 1, 2, 1.5, 3.5), (1, 1, 3, 1.5, 2.5)]
-    got = zones.polygon_centroids(vertices(spark, closed + hole), chunk=chunk).first()
+    rings = vertices(spark, closed + hole).withColumn("hole", F.col("ring") == 1)
+    got = zones.polygon_centroids(rings, chunk=chunk).first()
     assert got.longitude == pytest.approx(1.0)
     assert got.latitude == pytest.approx((8 * 2.0 - 1 * 3.0) / 7)
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_centroids_do_not_depend_on_winding(spark, turn):
+    square = [(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)]
+    hole = [(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)][::turn]
+    two = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
+    far = [(10, 0), (12, 0), (12, 2), (10, 2), (10, 0)][::turn]
+
+    def ring(points):
+        return "(" + ", ".join(f"{x} {y}" for x, y in points) + ")"
+
+    table = spark.createDataFrame(
+        [(1, f"POLYGON ({ring(square)}, {ring(hole)})"),
+         (2, f"MULTIPOLYGON (({ring(two)}),({ring(far)}))"),
+         (3, f"MULTIPOLYGON (({ring(square)},{ring(hole)}), ({ring(far)}))")],
+        "LocationID int, geometry string")
+    got = {r.LocationID: (r.longitude, r.latitude)
+           for r in zones.polygon_centroids(zones.ring_vertices(table)).collect()}
+    assert got[1] == pytest.approx((35 / 6, 35 / 6)) and got[2] == pytest.approx((6, 1))
+    assert got[3] == pytest.approx(((75 * 35 / 6 + 4 * 11) / 79, (75 * 35 / 6 + 4) / 79))
+
+
 def test_a_line_has_no_centroid(spark):
     flat = [(2, 0, 0, 0.0, 0.0), (2, 0, 1, 1.0, 1.0)]
     got = zones.polygon_centroids(vertices(spark, flat)).first()

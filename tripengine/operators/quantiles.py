@@ -34,14 +34,17 @@ def _constant_array(numbers: Iterable[float]) -> Column:
 
 def _cut_points(values: DataFrame) -> set[float]:
     """Fewer than BUCKETS values that part the rows about evenly, fetched once."""
-    steps = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    steps = _constant_array(i / BUCKETS for i in range(1, BUCKETS))
     part = F.pmod(F.spark_partition_id(), F.lit(MERGES))
     sketches = values.filter(~F.isnan("value")).groupBy(part.alias("part")).agg(
         F.kll_sketch_agg_double("value").alias("sketch")
     )
-    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch")).filter("sketch IS NOT NULL")
-    found = merged.select(F.kll_sketch_get_quantile_double("sketch", steps)).first()
-    return set(found[0]) if found else set()
+    # an empty sketch has no quantiles and may not be asked for them
+    merged = F.kll_merge_agg_double("sketch")
+    found = sketches.agg(
+        F.when(F.count("*") > 0, F.kll_sketch_get_quantile_double(merged, steps))
+    ).first()[0]
+    return set(found or [])
 
 
 def _range_buckets(values: DataFrame, cuts: Iterable[float]) -> DataFrame:

@@ -398,7 +398,7 @@ FROM zoned WHERE trip_duration > 0 GROUP BY 1""", "trips", "zones"))
 def fares_by_borough(spark, sf):
     """Trips of positive duration: mean, median and total fare by pickup borough."""
     df = materialise(
-        zoned_trips(spark, sf, "fare_amount", "trip_duration")
+        zoned_trips(spark, sf, "fare_amount", "trip_duration", roles=["pickup"])
         .filter(F.col("trip_duration") > 0)
         .select("pickup_borough", "fare_amount")
     )
