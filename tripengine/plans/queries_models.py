@@ -357,23 +357,74 @@ def _one_code(spark, sf):
     return [p.select("payment_type", LABEL) for p in parts]
 
 
-@query("evl_02_leaderboard_of_group_means", with_tables(f"""
+def _group_mean_sql(*pairs):
+    """Metrics on the held-out part of models that predict the mean per code."""
+    listed = ", ".join(f"('{e}', '{m}')" for e, m in pairs)
+    return with_tables(f"""
 WITH {_ONE_CODE},
 means AS (SELECT payment_type AS k, avg(total_amount) AS m FROM tagged WHERE h % 100 < 80 GROUP BY 1),
 held AS (SELECT total_amount AS y, m AS p FROM tagged JOIN means ON k = payment_type WHERE h % 100 >= 80)
 SELECT encoding, model_name, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 4) AS r2,
        round(avg(abs(y - p)), 2) AS mae, round(sqrt(avg((y - p) ** 2)), 2) AS rmse
-FROM held, (VALUES ('one_hot'), ('target_mean')) e(encoding),
-     (VALUES ('linear_reg'), ('decision_tree')) m(model_name)
-GROUP BY 1, 2""", "trips"))
+FROM held, (VALUES {listed}) e(encoding, model_name)
+GROUP BY 1, 2""", "trips")
+
+
+def _held_out(board):
+    return board.select("encoding", "model_name", F.round("r2", 4).alias("r2"),
+                        F.round("mae", 2).alias("mae"), F.round("rmse", 2).alias("rmse"))
+
+
+@query("evl_02_leaderboard_of_group_means", _group_mean_sql(
+    *((e, m) for e in ("one_hot", "target_mean") for m in ("linear_reg", "decision_tree"))))
 def evl_02_means(spark, sf):
     """With one category as the only input these models predict its mean."""
     train, test = _one_code(spark, sf)
-    return models.leaderboard(
+    return _held_out(models.leaderboard(
         spark, train, test, ["payment_type"], [], LABEL, ["one_hot", "target_mean"],
         ["linear_reg", "decision_tree"],
-    ).select("encoding", "model_name", F.round("r2", 4).alias("r2"), F.round("mae", 2).alias("mae"),
-             F.round("rmse", 2).alias("rmse"))
+    ))
+
+
+@query("tun_01_cross_validation_of_group_means", _group_mean_sql(
+    ("one_hot", "decision_tree"), ("one_hot", "linear_reg")))
+def tun_01_means(spark, sf):
+    train, test = _one_code(spark, sf)
+    return _held_out(models.leaderboard(
+        spark, train, test, ["payment_type"], [], LABEL, ["one_hot"],
+        ["linear_reg", "decision_tree"], folds=3,
+    ))
+
+
+def _tuned_means(spark, sf, grids, label=None):
+    train, test = _one_code(spark, sf)
+    if label is not None:
+        train, test = (df.withColumn(LABEL, label) for df in (train, test))
+    return models.tune(
+        spark, train, test, ["payment_type"], [], LABEL, list(grids), "one_hot", grids)[0]
+
+
+@query("tun_02_grid_of_group_means", _group_mean_sql(("one_hot", "decision_tree")))
+def tun_02_means(spark, sf):
+    """Every tree of the grid is deep enough to part five codes."""
+    return _held_out(_tuned_means(spark, sf, {"decision_tree": {"maxDepth": [5, 10]}}))
+
+
+@query("tun_03_split_of_group_means", _group_mean_sql(("one_hot", "gradient_boosting")))
+def tun_03_means(spark, sf):
+    """The first tree finds the means, and no residual is left to the others."""
+    return _held_out(_tuned_means(spark, sf, {"gradient_boosting": {"maxIter": [1, 2]}}))
+
+
+@query("tun_04_best_of_two_penalties", with_tables("""
+SELECT 'linear_reg' AS model_name, 'regParam' AS parameter,
+       CASE WHEN count(DISTINCT payment_type) > 1 THEN '0.0' END AS value
+FROM trips""", "trips"))
+def tun_04_means(spark, sf):
+    """Where the code nearly decides the label, a penalty that leaves no coefficient loses."""
+    label = F.col("payment_type").cast("double") * 1e7 + F.col(LABEL)
+    board = _tuned_means(spark, sf, {"linear_reg": {"regParam": [1e9, 0.0]}}, label)
+    return board.select("model_name", F.explode("hyperparameters").alias("parameter", "value"))
 
 
 @query("tun_01_cross_validation")
@@ -474,6 +525,72 @@ def imp_06(spark, sf):
         return _rounded(merged, "average_importance")
 
 
+# one input decides the label, the others never change ------------------------
+
+_INFORMATIVE = ["fare_amount", "constant_a", "constant_b"]
+
+
+def _informative_sql(column):
+    nothing = "var_pop(0 * fare_amount)"
+    spread = {"fare_amount": "var_pop(fare_amount)", "constant_a": nothing, "constant_b": nothing}
+    return with_tables("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST(CASE WHEN {v} > 0 THEN 1 ELSE 0 END AS DOUBLE) AS {column} FROM trips"
+        for c, v in spread.items()), "trips")
+
+
+def _informative(spark, sf):
+    df = stored_trips(spark, sf, "fare_amount", LABEL).withColumns(
+        {c: F.lit(v) for c, v in zip(_INFORMATIVE[1:], (1.0, 0.0))})
+    return encode.assemble(_INFORMATIVE, label=LABEL).transform(df)
+
+
+def _informative_scores(df):
+    forest, model = importance.forest_importance(df, _INFORMATIVE, LABEL)
+    return {
+        "rf_importance": forest,
+        "gbt_importance": importance.boosting_importance(df, _INFORMATIVE, LABEL, iterations=5),
+        "lasso_importance": importance.lasso_importance(df, _INFORMATIVE, LABEL),
+        "rfe_score": importance.ranked_elimination(df, _INFORMATIVE, LABEL),
+        "permutation_importance": importance.permutation_importance(df, model, _INFORMATIVE),
+    }
+
+
+@query("imp_01_forest_of_one_input", _informative_sql("rf_importance"))
+def imp_01_one(spark, sf):
+    return _rounded(importance.forest_importance(_informative(spark, sf), _INFORMATIVE, LABEL)[0],
+                    "rf_importance")
+
+
+@query("imp_02_boosting_of_one_input", _informative_sql("gbt_importance"))
+def imp_02_one(spark, sf):
+    return _rounded(importance.boosting_importance(
+        _informative(spark, sf), _INFORMATIVE, LABEL, iterations=5), "gbt_importance")
+
+
+@query("imp_03_lasso_of_one_input", _informative_sql("lasso_importance"))
+def imp_03_one(spark, sf):
+    return _rounded(importance.lasso_importance(_informative(spark, sf), _INFORMATIVE, LABEL),
+                    "lasso_importance")
+
+
+@query("imp_04_ranking_of_one_input", _informative_sql("rfe_score"))
+def imp_04_one(spark, sf):
+    return _rounded(importance.ranked_elimination(_informative(spark, sf), _INFORMATIVE, LABEL), "rfe_score")
+
+
+@query("imp_05_permutation_of_one_input", _informative_sql("permutation_importance"))
+def imp_05_one(spark, sf):
+    df = _informative(spark, sf)
+    line = models.regressor("linear_reg", "features", LABEL).fit(df)
+    return _rounded(importance.permutation_importance(df, line, _INFORMATIVE), "permutation_importance")
+
+
+@query("imp_06_merge_of_one_input", _informative_sql("average_importance"))
+def imp_06_one(spark, sf):
+    merged = importance.merged_importance(_informative_scores(_informative(spark, sf)))
+    return _rounded(merged, "average_importance").select("feature", "average_importance")
+
+
 def _chi_square_sql(columns, label):
     complete = " AND ".join(f"{c} IS NOT NULL" for c in [*columns, label])
     return "\nUNION ALL\n".join(f"""
