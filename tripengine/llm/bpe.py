@@ -35,7 +35,7 @@ from tripengine.llm.common import in_batches, query, table
 WORD_BPE = "word_bpe_49k.json"
 EMPTY = (1 << 62)
 #: Words of one generation that a task remembers; the longest word for shared trees.
-REMEMBERED, LONGEST = 1 << 18, 64
+REMEMBERED, LONGEST = 1 << 17, 64
 #: Python's blanks that are none in Unicode's sense.
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
 #: Unicode's White_Space, for a class of characters.

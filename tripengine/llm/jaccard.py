@@ -58,8 +58,8 @@ from tripengine.llm.components import components
 PIECES, SPARE = 1, 0
 #: Signatures a task looks at together, how many equal ones count as frequent there,
 #: and members of a block that are compared with each other.
-LOOK, FREQUENT, BLOCK = 1 << 20, 24, 1024
-WORDS_KEPT = 1 << 18
+LOOK, FREQUENT, BLOCK = 1 << 18, 24, 1024
+WORDS_KEPT = 1 << 16
 
 U64 = np.uint64
 SET_ARROW = pa.schema([("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
