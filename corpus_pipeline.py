@@ -39,14 +39,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of linked documents the one with the smallest id stays.
 
-    A document without words is a component of its own. Rows that repeat the
-    smallest id with other texts would all stay; the stage before left one row
-    for each text.
+    A document without words is a component of its own. Rows are dropped by id:
+    where rows of one id have several texts, all of them stay if one does, so
+    that no component is lost. Rows without an id stay.
     """
     ready(spark)
     found = jaccard.near_duplicates(docs, 5, 80)
-    dropped = materialise(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                          .select("doc_id").distinct(), "dropped")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = materialise(found.groupBy("doc_id").agg(F.bool_or(stays).alias("stays"))
+                          .where(~F.col("stays")).select("doc_id"), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 

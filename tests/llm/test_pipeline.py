@@ -66,6 +66,13 @@ def test_stages_keep_the_columns_and_odd_rows(session, docs_of):
     assert coded.count() == len(kept) and set(coded.columns) >= {"doc_id", "ids", "n_tokens"}
 
 
+def test_no_component_is_lost_to_a_repeated_id(session, docs_of):
+    one, other = ("first words of a text number " + " ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(10, one + " end"), (11, one + " end more"), (5, other + " end"), (10, other + " end more"), (None, one)]
+    kept = corpus_pipeline.near_dedup(session, docs_of(rows), SF).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [10, 10, 5, None]
+
+
 def test_empty_documents(session, docs_of):
     docs = docs_of([])
     for _, stage in corpus_pipeline.STAGES:

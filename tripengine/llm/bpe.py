@@ -21,7 +21,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from tripengine.llm.common import in_batches, query, table
+from tripengine.llm.common import in_batches, query, table, with_column
 
 WORD_BPE = "word_bpe_49k.json"
 EMPTY = (1 << 62)
@@ -320,31 +320,6 @@ def loaded(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _fresh(name: str, taken: list[str]) -> str:
-    while name.lower() in (t.lower() for t in taken):
-        name += "_"
-    return name
-
-
-def _with_column(frame: DataFrame, source: str, name: str, kind: str, arrow: pa.DataType,
-                 work: Callable[[], Callable]) -> DataFrame:
-    """The frame with a column that ``work()`` makes of ``source``, batch by batch."""
-    kept = [c for c in frame.columns if c.lower() != name.lower()]
-    copy = _fresh("source", kept)
-    # the column is read under a name of its own, as it may be the one replaced
-    given = frame.select(*(f"`{c}`" for c in kept), frame[f"`{source}`"].alias(copy))
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = work()
-        for b in batches:
-            made = pa.array(f(b.column(len(kept)).to_pylist()), arrow)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], made], names=[*kept, name])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema[:-1]),
-                        f"`{name}` {kind}"])
-    return given.mapInArrow(rows, schema)
-
-
 def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
     """All columns, and the ids of the whole text as ``array<int>``."""
     def work():
@@ -352,7 +327,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
         return lambda texts: [np.frombuffer(ids, "<u4").astype(np.int32)
                               for ids in bpe.encode_all([t or "" for t in texts])]
 
-    return _with_column(docs, text_column, ids_column, "array<int>", pa.list_(pa.int32()), work)
+    return with_column(docs, text_column, ids_column, "array<int>", pa.list_(pa.int32()), work)
 
 
 def decode(frame: DataFrame, path: str, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
@@ -361,7 +336,7 @@ def decode(frame: DataFrame, path: str, ids_column: str = "ids", text_column: st
         bpe = loaded(path)
         return lambda rows: [bpe.decode(np.array(ids or [], "<u4").tobytes()) for ids in rows]
 
-    return _with_column(frame, ids_column, text_column, "string", pa.string(), work)
+    return with_column(frame, ids_column, text_column, "string", pa.string(), work)
 
 
 DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),

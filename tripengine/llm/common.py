@@ -90,6 +90,32 @@ def _batch(block: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+def fresh_name(name: str, taken: list[str]) -> str:
+    """A column name none of ``taken`` clashes with, in any case."""
+    while name.lower() in (t.lower() for t in taken):
+        name += "_"
+    return name
+
+
+def with_column(frame: DataFrame, source: str, name: str, kind: str, arrow: pa.DataType,
+                 work: Callable[[], Callable]) -> DataFrame:
+    """The frame with a column that ``work()`` makes of ``source``, batch by batch."""
+    kept = [c for c in frame.columns if c.lower() != name.lower()]
+    copy = fresh_name("source", kept)
+    # the column is read under a name of its own, as it may be the one replaced
+    given = frame.select(*(f"`{c}`" for c in kept), frame[f"`{source}`"].alias(copy))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = work()
+        for b in batches:
+            made = pa.array(f(b.column(len(kept)).to_pylist()), arrow)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], made], names=[*kept, name])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema[:-1]),
+                        f"`{name}` {kind}"])
+    return given.mapInArrow(rows, schema)
+
+
 class SharedFiles:
     """Files of tasks below a folder all executors reach, whatever store it is in.
 

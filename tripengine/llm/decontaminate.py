@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripengine.llm.common import BLANKS, in_batches, query, table
+from tripengine.llm.common import BLANKS, fresh_name, in_batches, query, table, with_column
 
 Q, RATE, WINDOW, LEAST = 9, 8, 200, 40
 #: Characters of benchmark text in one block.
@@ -237,9 +237,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
 def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
           item_text: str = "text") -> DataFrame:
     """The documents without any benchmark passage, with all their columns."""
-    from tripengine.llm.bpe import _fresh, _with_column
-
-    name = _fresh("leaks", docs.columns)
+    name = fresh_name("leaks", docs.columns)
     for needles in blocks(benchmark, item_column, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(needles)
 
@@ -249,7 +247,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
                 return [i in hit for i in range(len(texts))]
             return leaks
 
-        docs = _with_column(docs, text_column, name, "boolean", pa.bool_(), work) \
+        docs = with_column(docs, text_column, name, "boolean", pa.bool_(), work) \
             .where(~F.col(name)).drop(name)
     return docs
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripengine.llm.common import in_batches, query, remainder, table
+from tripengine.llm.common import fresh_name, in_batches, query, remainder, table, with_column
 
 ORDER = 4
 SAMPLE_BYTES, LONGEST_SAMPLE = 2 << 20, 64 << 10
@@ -248,15 +248,13 @@ def predict(docs: DataFrame, trees: ContextTrees, id_column: str = "doc_id", tex
 
 def known_language(docs: DataFrame, trees: ContextTrees, text_column: str = "text") -> DataFrame:
     """The rows whose text has a language; all columns as they are."""
-    from tripengine.llm.bpe import _fresh, _with_column
-
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    name = _fresh("lang_pred", docs.columns)
+    name = fresh_name("lang_pred", docs.columns)
 
     def work():
         return lambda texts: [lang for lang, _ in shared.value.predict(texts)]
 
-    told = _with_column(docs, text_column, name, "string", pa.string(), work)
+    told = with_column(docs, text_column, name, "string", pa.string(), work)
     return told.where(F.col(name) != UNDETERMINED).drop(name)
 
 

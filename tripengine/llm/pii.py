@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripengine.llm.common import in_batches, materialise, query, table
+from tripengine.llm.common import in_batches, materialise, query, table, with_column
 
 KINDS = ("email", "ip", "card", "phone")
 #: What the generators propose, in the order in which spans are listed after the base kinds.
@@ -315,8 +315,6 @@ def find(docs: DataFrame, detector: Detector, id_column: str = "doc_id",
 
 def redact(docs: DataFrame, detector: Detector, text_column: str = "text") -> DataFrame:
     """The documents with each span replaced by its kind in brackets; all columns stay."""
-    from tripengine.llm.bpe import _with_column
-
     shared = docs.sparkSession.sparkContext.broadcast(detector)
 
     def hidden(text: str, spans: list[Span]) -> str:
@@ -331,7 +329,7 @@ def redact(docs: DataFrame, detector: Detector, text_column: str = "text") -> Da
         return lambda texts: [t if t is None else hidden(t, [*base, *added]) for t, (base, added) in zip(
             texts, shared.value.spans([t or "" for t in texts]), strict=True)]
 
-    return _with_column(docs, text_column, text_column, "string", pa.string(), work)
+    return with_column(docs, text_column, text_column, "string", pa.string(), work)
 
 
 @query("op10_pii_spans")
