@@ -60,11 +60,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and the decoded text's digest of every document."""
     ready(spark)
-    path = public_tokenizers.path(bpe.WORD_BPE)
-    coded = bpe.encode(docs.select("doc_id", "text"), path, "text", "ids")
-    return bpe.decode(coded.drop("text"), path, "ids", "decoded").select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.round_trip(docs, public_tokenizers.path(bpe.WORD_BPE))
 
 
 STAGES: list[tuple[str, Stage]] = [

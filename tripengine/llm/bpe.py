@@ -362,6 +362,27 @@ def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
     return given.mapInArrow(rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, ids, n_tokens and the decoded text's SHA-256, encoded and decoded in one worker."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()),
+                        ("decoded_sha256", pa.string())])
+
+    def rows(batches):
+        bpe = loaded(path)
+        for b in batches:
+            encoded = bpe.encode_all([t or "" for t in b.column(1).to_pylist()])
+            made = [hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest() for ids in encoded]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in encoded],
+                                       pa.list_(pa.int32())),
+                 pa.array([len(i) // 4 for i in encoded], pa.int64()), pa.array(made, pa.string())],
+                schema=schema)
+
+    given = docs.select(docs[f"`{id_column}`"].cast("long").alias("doc_id"),
+                        docs[f"`{text_column}`"].cast("string").alias("text"))
+    return given.mapInArrow(rows, "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string")
+
+
 @query("op4_bpe_round_trip")
 def op4(spark, sf_dir):
     """Every document encoded and decoded."""
