@@ -85,3 +85,37 @@ def test_passages_of_the_tables(session):
             if d.normal(b.text) in d.normal(r.text or "") and len(d.normal(b.text)) >= d.LEAST}
     got = {(r.doc_id, r.item_id) for r in d.find(docs, bench).collect()}
     assert want <= got and len(got - want) <= 1
+
+
+def test_parts_of_items_are_found(docs_of, session):
+    draw = random.Random(11)
+    prose = ["".join(draw.choice("bcdfglmnprstuaeio ") for _ in range(600)) for _ in range(4)]
+    short, long = ("".join(draw.choice(ALPHABET.replace("  ", " z")) for _ in range(n)) for n in (180, 400))
+    bench = session.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    low = d.normal(long)
+    planted = {1: (short[:144], 1), 2: (low[50:250], 2), 3: (low[25:265], 2),
+               4: (low[133:133 + d.PART + d.PART // 2 - 1], 2),  # the least run that holds a whole part
+               5: (low[60:90] + "#" + low[91:120] + "##" + low[122:160], 2), 6: (low[70:100], None)}
+    rows = [(i, f"{prose[0]}{t.upper()}{prose[1]}") for i, (t, _) in planted.items()]
+    rows += [(7, prose[2] + " " + long + " " + prose[3]), (8, prose[3])]
+    got = {(r.doc_id, r.item_id): r for r in d.find(docs_of(rows), bench).collect()}
+    assert set(got) == {(i, item) for i, (_, item) in planted.items() if item} | {(7, 2)}
+    assert all((r.windows, r.edits) == (0, 0) for (i, _), r in got.items() if i in (1, 4))
+    for i in (1, 2, 3, 4):  # at most a half part at either end lies in no whole part
+        assert 600 - 4 <= got[i, planted[i][1]].start < 600 + d.PART // 2 + 4
+    assert (got[7, 2].windows, got[7, 2].edits, got[7, 2].start) == (3, 0, 601)
+    assert sorted(r.doc_id for r in d.clean(docs_of(rows), bench).collect()) == [6, 8]
+
+
+def test_parts_add_to_what_whole_items_find():
+    draw = random.Random(3)
+    items = [(i, "".join(draw.choice(ALPHABET) for _ in range(draw.randrange(40, 700)))) for i in range(12)]
+    texts = ["x" * 30 + items[i % 12][1][draw.randrange(5):] + "tail of the text" for i in range(24)]
+    plain, parts = d.Needles(items), d.Needles(items, parts=True)
+    assert parts.items[:parts.whole] == plain.items
+    own = parts.search(texts)
+    assert [r for r in own if r[1] < parts.whole] == plain.search(texts)
+    ends = {}
+    for t, n, start, end, _ in own:
+        ends.setdefault((t, parts.items[n]), []).append((start, end))
+    assert all((t, t % 12) in ends for t in range(24))

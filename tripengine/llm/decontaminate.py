@@ -5,6 +5,11 @@ benchmark item is searched as a whole, a longer one in windows of ``WINDOW``
 characters that overlap by half. Each needle of L characters may differ by
 k = ``RATE`` percent of L edits.
 
+A part of an item counts as well: items are also cut into parts of ``PART``
+characters, one from every half part on, each searched like an item of that
+length. So every verbatim run of ``PART`` + ``PART`` / 2 - 1 characters of an
+item is found, and an edited run where one whole part in it keeps to its budget.
+
 * Lemma: an occurrence with at most k edits shares at least L - q + 1 - k * q
   q-grams with the needle, and all lie on diagonals (place in the text less
   place in the needle) that differ by at most k.
@@ -13,6 +18,8 @@ k = ``RATE`` percent of L edits.
   band, and only bands that reach the bound are kept.
 * Alignment: for those, the edit distance of the needle to any part of the
   region is worked out along the band's diagonals, all bands of a batch at once.
+* Parts come after whole needles; a part's region inside a passage of its item
+  that is already found would add nothing, and is not aligned.
 
 The benchmark is a stated set of queries. It is dealt out into blocks of
 bounded size; a block's q-gram table is sent to all tasks, and every document
@@ -38,6 +45,8 @@ from pyspark.sql import functions as F
 from tripengine.llm.common import BLANKS, fresh_name, in_batches, query, table, with_column
 
 Q, RATE, WINDOW, LEAST = 9, 8, 200, 40
+#: Characters of a part of an item: as short as an item may be.
+PART = LEAST
 #: Characters of benchmark text in one block.
 BLOCK_CHARS = 4 << 20
 
@@ -70,29 +79,38 @@ def qgrams(codes: np.ndarray) -> np.ndarray:
 
 
 class Needles:
-    """The windows of a block of items, and where each q-gram occurs in them."""
+    """The windows of a block of items, and where each q-gram occurs in them.
+
+    With ``parts`` the items' parts follow, from needle ``whole`` on.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], parts: bool = False):
         self.items, needles = [], []
-        for item_id, text in items:
-            text = normal(text)
-            if len(text) < LEAST:
-                continue
-            last = max(0, len(text) - WINDOW)
-            for start in sorted({*range(0, last, WINDOW // 2), last}):
-                needles.append(points(text[start:start + WINDOW]))
-                self.items.append(item_id)
+        texts = [(item_id, points(text)) for item_id, text in ((i, normal(t)) for i, t in items)
+                 if len(text) >= LEAST]
+
+        def cut(size: int, least: int) -> None:
+            for item_id, codes in texts:
+                if len(codes) >= least:
+                    last = max(0, len(codes) - size)
+                    for start in sorted({*range(0, last, size // 2), last}):
+                        needles.append(codes[start:start + size])
+                        self.items.append(item_id)
+
+        cut(WINDOW, LEAST)
+        self.whole = len(needles)
+        if parts:
+            cut(PART, PART + 1)
         self.lengths = np.array([len(n) for n in needles], np.int64)
         self.budgets = self.lengths * RATE // 100
         self.bounds = self.lengths - Q + 1 - self.budgets * Q
         self.steps = np.array([1 << int(k).bit_length() for k in self.budgets], np.int64)
-        self.codes = np.full((len(needles), WINDOW), 0, np.uint32)
-        for row, n in zip(self.codes, needles, strict=True):
-            row[:len(n)] = n
+        self.codes = np.concatenate([*needles, np.empty(0, np.uint32)])
+        self.begins = np.cumsum(self.lengths) - self.lengths
         grams = [qgrams(n) for n in needles] or [np.empty(0, U64)]
         keys = np.concatenate(grams)
-        owner = np.repeat(np.arange(len(needles)), [len(g) for g in grams] if needles else [])
-        place = np.concatenate([np.arange(len(g)) for g in grams])
+        owner = np.repeat(np.arange(len(needles), dtype=np.int32), [len(g) for g in grams] if needles else [])
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])
         order = np.argsort(keys, kind="stable")
         self.owner, self.place = owner[order], place[order]
         self.keys, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
@@ -118,7 +136,7 @@ class Needles:
         many = self.count[found]
         at = np.repeat(at, many)
         entry = np.repeat(self.first[found] - np.cumsum(many) + many, many) + np.arange(len(at))
-        needle = self.owner[entry]
+        needle = self.owner[entry].astype(np.int64)
         diagonal = at - self.place[entry] + WINDOW  # not below zero
         band = diagonal // self.steps[needle]
         key = np.concatenate([needle << 40 | band, needle << 40 | (band - 1)])
@@ -126,16 +144,37 @@ class Needles:
         needle = key >> 40
         full = count >= self.bounds[needle]
         needle, band = needle[full], key[full] & ((1 << 40) - 1)
+        low = band * self.steps[needle] - WINDOW
         results: dict[tuple[int, int, int], tuple[int, int]] = {}
-        for first in range(0, len(needle), 512):
-            some = slice(first, first + 512)
-            low = band[some] * self.steps[needle[some]] - WINDOW
-            for n, end, edits in self._aligned(codes, needle[some], low):
+        passages: dict[int, dict[int, tuple[int, int]]] = {}  # first start and last end, by item and text
+
+        def align(some: np.ndarray) -> None:
+            for n, end, edits in self._aligned(codes, needle[some], low[some]):
                 start = self._start(codes, n, end)
                 text = int(np.searchsorted(walls, start, side="right")) - 1
                 place = text, n, int(kept[end - 1])
                 if place not in results or edits < results[place][1]:
                     results[place] = int(kept[start]), edits
+                    own = passages.setdefault(self.items[n], {})
+                    a, b = own.get(text, (start, end))
+                    own[text] = min(a, start), max(b, end)
+
+        def inside(i: int) -> bool:
+            n = int(needle[i])
+            own = passages.get(self.items[n])
+            if not own:
+                return False
+            k, first = int(self.budgets[n]), int(low[i])
+            text = int(np.searchsorted(walls, max(0, first), side="right")) - 1
+            a, b = own.get(text, (0, 0))
+            return a <= first - k and first + 2 * int(self.steps[n]) + int(self.lengths[n]) + k <= b
+
+        # needles are in order, whole ones first
+        cut = int(np.searchsorted(needle, self.whole))
+        for first in range(0, cut, 512):
+            align(np.arange(first, min(cut, first + 512)))
+        for first in range(cut, len(needle), 2048):
+            align(np.array([i for i in range(first, min(len(needle), first + 2048)) if not inside(i)], np.int64))
         begin = kept[walls]
         return [(t, n, s - int(begin[t]) - 1, e - int(begin[t]), d)
                 for (t, n, e), (s, d) in sorted(results.items())]
@@ -146,6 +185,8 @@ class Needles:
         ``low`` is the band's first diagonal. One row of the table at a time,
         for all bands together; walls between texts match nothing.
         """
+        if not len(needle):
+            return
         k, step, length = self.budgets[needle], self.steps[needle], self.lengths[needle]
         width = int((2 * step + 2 * k).max()) + 1
         start = low - k
@@ -158,7 +199,8 @@ class Needles:
             inside = (place >= 0) & (place < len(codes))
             char = np.where(inside, codes[np.clip(place, 0, len(codes) - 1)], 0)
             wall = char == 0
-            step_cost = np.where(wall, 1 << 16, char != self.codes[needle, j - 1][:, None])
+            letter = self.codes[self.begins[needle] + np.minimum(j, length) - 1]
+            step_cost = np.where(wall, 1 << 16, char != letter[:, None])
             now = cost + step_cost
             now[:, :-1] = np.minimum(now[:, :-1], cost[:, 1:] + 1)
             # a character more in the text: from the left in the same row, not over a wall
@@ -178,7 +220,7 @@ class Needles:
         """Where the best occurrence that ends at ``end`` starts: the same table from the end on."""
         length, k = int(self.lengths[n]), int(self.budgets[n])
         back = codes[max(0, end - length - k):end][::-1]
-        word = self.codes[n, :length][::-1]
+        word = self.codes[self.begins[n]:self.begins[n] + length][::-1]
         row = np.arange(len(back) + 1)
         for j in range(1, length + 1):
             now = np.empty_like(row)
@@ -189,7 +231,7 @@ class Needles:
 
 
 def blocks(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text",
-           block_chars: int = BLOCK_CHARS) -> Iterator[Needles]:
+           block_chars: int = BLOCK_CHARS, parts: bool = False) -> Iterator[Needles]:
     """The benchmark's needles, a block of bounded size at a time."""
     items = benchmark.select(F.col(f"`{id_column}`").cast("long").alias("item_id"),
                              F.col(f"`{text_column}`").cast("string").alias("text")) \
@@ -199,21 +241,23 @@ def blocks(benchmark: DataFrame, id_column: str = "item_id", text_column: str =
     for b in range(count):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b)
         yield Needles(sorted(((r.item_id, r.text) for r in mine.collect()),
-                             key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+                             key=lambda x: (x[0] is None, x[0] or 0, x[1])), parts)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
          item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, start, end (characters of the text), windows found and least edits.
 
-    A row per document row and item that occurs in it: from the first window's
-    start to the last one's end.
+    A row per document row and item that occurs in it, whole or in part: from
+    the first found needle's start to the last one's end. Windows and edits are
+    those of whole items and windows; where only parts occur, no window is
+    found and the edits are those of the best part.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"),
                         F.col(f"`{text_column}`").cast("string").alias("text"))
     found = spark.createDataFrame([], HIT)
-    for needles in blocks(benchmark, item_column, item_text):
+    for needles in blocks(benchmark, item_column, item_text, parts=True):
         shared = spark.sparkContext.broadcast(needles)
 
         def rows(batches, shared=shared):
@@ -226,8 +270,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
                     for text, n, start, end, edits in own.search(b.column(1).to_pylist()):
                         spans.setdefault((text, own.items[n]), []).append((start, end, n, edits))
                     for (text, item), places in spans.items():
+                        full = [p for p in places if p[2] < own.whole]
                         yield (doc_ids[text], item, min(p[0] for p in places), max(p[1] for p in places),
-                               len({p[2] for p in places}), min(p[3] for p in places))
+                               len({p[2] for p in full}), min(p[3] for p in full or places))
             yield from in_batches(hits(), HIT_ARROW)
 
         found = found.unionByName(given.mapInArrow(rows, HIT))
@@ -236,9 +281,9 @@ def find(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
           item_text: str = "text") -> DataFrame:
-    """The documents without any benchmark passage, with all their columns."""
+    """The documents without any benchmark passage, whole or in part, with all their columns."""
     name = fresh_name("leaks", docs.columns)
-    for needles in blocks(benchmark, item_column, item_text):
+    for needles in blocks(benchmark, item_column, item_text, parts=True):
         shared = docs.sparkSession.sparkContext.broadcast(needles)
 
         def work(shared=shared):
