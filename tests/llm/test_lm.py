@@ -70,3 +70,17 @@ def test_empty_tables(docs_of):
     row = lm.score(docs_of([(1, "a b")]), model, table).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0)
     assert row.score < 0
+
+
+def test_training_follows_the_training_tokens(docs_of, monkeypatch):
+    made, train = [], lm.LogBilinear.train
+
+    def counted(self, trigrams, counts, steps=lm.STEPS):
+        made.append(steps)
+        return train(self, trigrams, counts, min(steps, 5))
+
+    monkeypatch.setattr(lm.LogBilinear, "train", counted)
+    lm.learn(docs_of(ROWS))
+    monkeypatch.setattr(lm, "STEP_TOKENS", 4)
+    model, _ = lm.learn(docs_of(ROWS))
+    assert made == [3000, model.train_tokens // 4] and made[1] > 3000

@@ -16,7 +16,8 @@ Everything learned comes from the whole training part: token counts by one
 distributed count, class trigrams by a second. The trigrams fill a table
 bounded by the cube of the classes, whatever the corpus; the driver trains on
 that table, drawing examples in proportion to the counts and noise from the
-class frequencies, a fixed number of steps with a fixed seed.
+class frequencies, with a fixed seed. A step is made for every ``STEP_TOKENS``
+training tokens, ``STEPS`` at least, so what it learns from grows with the corpus.
 
 Counts of the vocabulary can grow without bound. Tasks hold those of the most
 frequent tokens only (``HEAD`` at most); the others meet their counts in a
@@ -49,7 +50,9 @@ SINGLE, SHARED = 96, 32
 CLASSES = SINGLE + SHARED
 #: Tokens whose counts every task holds at most, and the longest of them in bytes.
 HEAD, LONGEST_HEAD = 1 << 17, 64
-WIDTH, STEPS, BATCH, NOISE, RATE = 24, 1500, 1024, 24, 0.3
+WIDTH, STEPS, BATCH, NOISE, RATE = 24, 3000, 1024, 24, 0.3
+#: Training tokens for each step, where that makes more than ``STEPS``.
+STEP_TOKENS = 1 << 14
 #: Different tokens a task counts before it hands them on.
 HELD = 1 << 18
 #: The end of a text. No word holds a blank.
@@ -263,7 +266,8 @@ def learn(training: DataFrame, text_column: str = "text") -> tuple[Model, DataFr
         F.sum("n").alias("n")).toArrow()  # a row per trigram of classes at most
     keys, n = (seen.column(x).to_numpy() for x in ("trigram", "n"))
     order = np.argsort(keys)
-    network = LogBilinear().train(keys[order], n[order].astype(float))
+    steps = max(STEPS, (total.n or 0) // STEP_TOKENS)
+    network = LogBilinear().train(keys[order], n[order].astype(float), steps)
     return Model(head, single, totals, total.n or 0, total.v, network), counts
 
 
