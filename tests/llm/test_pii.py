@@ -90,3 +90,23 @@ def test_nothing_to_learn_from(docs_of):
     assert detector.trees is None
     assert [r.spans for r in pii.find(docs_of([(1, "1.2.3.4 " + "z" * 40)]), detector).collect()] == ["ip:0:7"]
     assert pii.find(docs_of([]), pii.fit(docs_of([]))).collect() == []
+
+
+def test_a_rare_kind_is_learned_from_all_texts(session, docs_of):
+    # written-out addresses only where a sample of 8,000 texts by the id's hash would not look
+    outside = [r.id for r in session.range(1000, 13_000).where(
+        f"pmod(xxhash64(id), {1 << 20}) >= {(8000 << 20) // 12_400}").limit(40).collect()]
+    rows = samples() + [(i, f"write joe{i} (at) example{i} (dot) com soon" if i in outside else f"plain words {i}")
+                        for i in range(1000, 13_000)]
+    docs = docs_of(rows)
+    detector = pii.fit(docs)
+    assert np.isfinite(detector.least[pii.MORE.index("mail")])
+    text = "write joe4242 (at) example4242 (dot) com soon"
+    assert [r.spans for r in pii.find(docs_of([(1, text)]), detector).collect()] == ["mail:6:40"]
+
+
+def test_thresholds_from_counts_and_even_shares():
+    detector = pii.Detector().calibrate(*(np.array(c) for c in zip(
+        (0, 512, 1, 90), (0, 256, 1, 8), (0, 256, 0, 2), (0, -256, 1, 1), (0, -256, 0, 90), (1, 0, 0, 5), strict=True)))
+    assert detector.least.tolist() == [1.0, *[np.inf] * 4]
+    assert pii._shares({(0, 0): 1000, (0, 1): 10, (1, 0): 500}, 210) == {(0, 1): 1.0, (1, 0): 0.2, (0, 0): 0.1}

@@ -5,18 +5,21 @@
 * Generators with high recall propose overlapping candidates: loose numbers,
   written-out mail addresses, long tokens, assigned values, account numbers.
 * Gradient-boosted trees score each candidate by its format and by what stands
-  around it. They are fitted on a bounded sample (``SAMPLE_TEXTS`` texts drawn
-  by a hash of the id, ``SAMPLE_CANDIDATES`` of their candidates): candidates
-  that cover a base span or pass their kind's own check are positive, all
-  others negative.
-* Scores are calibrated on the half of the sample the trees have not seen. Per
-  generator the least score from which ``PRECISION`` of that half is positive
-  is the threshold; a generator that never gets there adds nothing.
+  around it. Candidates that cover a base span or pass their kind's own check
+  are positive, all others negative. Candidates of all texts are counted by kind
+  and label, and a bounded sample (``SAMPLE_CANDIDATES``) is drawn from each of
+  these groups by a hash, small groups whole, so that no kind is lost to the
+  others or to the number of texts. The trees are fitted on half of it.
+* Scores are calibrated on the candidates of all texts that the trees have not
+  seen, counted by kind, label and score in steps of 1 / ``STEPS``, each group
+  scaled up by what the trees were given of it. Per generator the least score
+  from which ``PRECISION`` of them is positive is the threshold; a generator
+  that never gets there adds nothing.
 * Of the candidates over the threshold the best are taken first, where no span
   overlaps another or a base span.
 
-Defined results: null and empty texts have no spans. A sample without
-candidates, or with one label only, adds none. Rows are scanned each, so
+Defined results: null and empty texts have no spans. Fewer than 20
+candidates in the sample, or one label only, add none. Rows are scanned each, so
 repeated ids stay separate; an empty table gives no rows.
 """
 
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripengine.llm.common import in_batches, materialise, query, table, with_column
+from tripengine.llm.common import in_batches, query, table, with_column
 
 KINDS = ("email", "ip", "card", "phone")
 #: What the generators propose, in the order in which spans are listed after the base kinds.
 MORE = ("number", "mail", "token", "value", "account")
-SAMPLE_TEXTS, SAMPLE_CANDIDATES, PRECISION = 8000, 40_000, 0.95
+SAMPLE_CANDIDATES, PRECISION, STEPS = 40_000, 0.95, 256
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
 
 # Base patterns. A run of digits or local characters is entered at its start only and
@@ -61,6 +65,10 @@ CUES = (("tel", "phone", "call", "fax", "mobile"), ("mail", "contact", "write"),
         ("token", "key", "secret", "passw", "pwd"), ("iban", "account", "ssn", "social"))
 
 Span = tuple[str, int, int]
+COUNT_ARROW = pa.schema([(n, pa.int64()) for n in ("kind", "y", "n")])
+SCORE_ARROW = pa.schema([(n, pa.int64()) for n in ("kind", "step", "y", "n")])
+SAMPLE_ARROW = pa.schema([("draw", pa.int64()), ("unseen", pa.bool_()), ("y", pa.float64()),
+                          ("x", pa.list_(pa.float64()))])
 
 
 def luhn(digits: str) -> bool:
@@ -217,21 +225,19 @@ class BoostedTrees:
 class Detector:
     """Trees with a threshold per generator; without either only base spans are found."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.trees, self.least = None, np.full(len(MORE), np.inf)
-        half = np.arange(len(y)) % 2 == 0
-        if len(y) < 20 or len(np.unique(y[half])) < 2:
-            return
-        self.trees = BoostedTrees(x[half], y[half])
-        score, seen, kind = self.trees.score(x[~half]), y[~half], x[~half, :len(MORE)].argmax(1)
+    def __init__(self, trees: BoostedTrees | None = None):
+        self.trees, self.least = trees, np.full(len(MORE), np.inf)
+
+    def calibrate(self, kind: np.ndarray, step: np.ndarray, y: np.ndarray, n: np.ndarray) -> Detector:
+        """Thresholds from counts ``n`` by kind, score step and label."""
         for k in range(len(MORE)):
-            mine = np.argsort(-score[kind == k], kind="stable")
-            s, good = score[kind == k][mine], seen[kind == k][mine]
-            # counts up to a score include all candidates that share it
-            last = np.append(s[1:] < s[:-1], True) if len(s) else np.array([], bool)
-            precise = last & (good.cumsum() >= PRECISION * np.arange(1, len(s) + 1)) & (good.cumsum() > 0)
-            if precise.any():
-                self.least[k] = s[np.flatnonzero(precise)[-1]]
+            steps, at = np.unique(-step[kind == k], return_inverse=True)
+            every = np.bincount(at, n[kind == k], len(steps)).cumsum()
+            good = np.bincount(at, (n * y)[kind == k], len(steps)).cumsum()
+            precise = np.flatnonzero((good >= PRECISION * every) & (good > 0))
+            if len(precise):
+                self.least[k] = -steps[precise[-1]] / STEPS
+        return self
 
     def spans(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """Base spans and added spans of each text."""
@@ -256,34 +262,91 @@ def _given(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                        F.col(f"`{text_column}`").cast("string").alias("text"))
 
 
+def _labelled(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, str, int, int]]:
+    """Candidates with their text, label and a hash of 64 bits."""
+    for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        base = base_spans(text)
+        for kind, a, e in candidates(text):
+            certain = any(max(a, c) < min(e, d) and min(e, d) - max(a, c) >= 0.8 * (e - a)
+                          for _, c, d in base)
+            good = certain or passes(kind, text[a:e], text[max(0, a - 24):a])
+            own = f"{doc_id}:{kind}:{a}:{text[a:e]}".encode("utf-8", "surrogatepass")
+            yield kind, a, e, text, int(good), int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big")
+
+
+def _shares(counts: dict[tuple[int, int], int], most: int) -> dict[tuple[int, int], float]:
+    """The share of each group in a sample of ``most``: even numbers, small groups whole."""
+    shares, left = {}, most
+    for i, (group, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        taken = min(n, left / (len(counts) - i))
+        shares[group] = taken / n
+        left -= taken
+    return shares
+
+
+def _drawn(draw: int, share: float) -> bool:
+    return (draw >> 12) < share * (1 << 52)
+
+
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-        sample_texts: int = SAMPLE_TEXTS, sample_candidates: int = SAMPLE_CANDIDATES) -> Detector:
-    """The detector, from a bounded sample of the rows."""
+        sample_candidates: int = SAMPLE_CANDIDATES) -> Detector:
+    """The detector: trees from a bounded sample per kind and label, thresholds from all rows."""
     rows = _given(docs, id_column, text_column).where("text IS NOT NULL")
-    share = min(1.0, sample_texts / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
 
-    def labelled(batches):
+    def counted(batches):
+        held: Counter = Counter()
+        for b in batches:
+            held.update((MORE.index(kind), y) for kind, _, _, _, y, _ in _labelled(b))
+        yield from in_batches(((k, y, n) for (k, y), n in held.items()), COUNT_ARROW)
+
+    counts = {(r.kind, r.y): r.n for r in rows.mapInArrow(counted, "kind long, y long, n long")
+              .groupBy("kind", "y").agg(F.sum("n").alias("n")).collect()}
+    shares = _shares(counts, sample_candidates)
+
+    def sampled(batches):
         def found():
             for b in batches:
-                for doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    base = base_spans(text)
-                    for kind, a, e in candidates(text):
-                        certain = any(max(a, c) < min(e, d) and min(e, d) - max(a, c) >= 0.8 * (e - a)
-                                      for _, c, d in base)
-                        good = certain or passes(kind, text[a:e], text[max(0, a - 24):a])
-                        yield doc_id, a, float(good), features(kind, text, a, e)
-        yield from in_batches(found(), pa.schema([
-            ("doc_id", pa.int64()), ("start", pa.int64()), ("y", pa.float64()),
-            ("x", pa.list_(pa.float64()))]))
-
-    known = materialise(drawn.mapInArrow(
-        labelled, "doc_id long, start long, y double, x array<double>"), "pii-sample")
-    share = min(1.0, sample_candidates / max(1, known.count()))
-    kept = known.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(1 << 20)) < share * (1 << 20)) \
-        .orderBy(F.xxhash64("start", "doc_id"), "doc_id", "start", "x").toArrow()
+                for kind, a, e, text, y, draw in _labelled(b):
+                    if _drawn(draw, shares[MORE.index(kind), y]):
+                        yield draw >> 1, bool(draw & 1), float(y), features(kind, text, a, e)
+        yield from in_batches(found(), SAMPLE_ARROW)
+
+    kept = rows.mapInArrow(sampled, "draw long, unseen boolean, y double, x array<double>") \
+        .toArrow()  # bounded by the shares; put in order here, as a sort by range would run the pass twice
     x = np.array(kept.column("x").to_pylist(), float).reshape(-1, WIDTH)
-    return Detector(x, kept.column("y").to_numpy())
+    y, half = kept.column("y").to_numpy(), ~kept.column("unseen").to_numpy().astype(bool)
+    order = np.lexsort((*x.T, y, half, kept.column("draw").to_numpy()))
+    x, y, half = x[order], y[order], half[order]
+    if len(y) < 20 or len(np.unique(y[half])) < 2:
+        return Detector()
+    trees = BoostedTrees(x[half], y[half])
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def scored(batches):
+        held: Counter = Counter()
+
+        def add(block):
+            steps = np.floor(shared.value.score(np.array([v for _, _, v in block])) * STEPS)
+            held.update((k, int(s), y) for (k, y, _), s in zip(block, steps.tolist(), strict=True))
+
+        block = []
+        for b in batches:
+            for kind, a, e, text, y, draw in _labelled(b):
+                k = MORE.index(kind)
+                if draw & 1 or not _drawn(draw, shares[k, y]):
+                    block.append((k, y, features(kind, text, a, e)))
+                if len(block) >= 1 << 14:
+                    add(block)
+                    block = []
+        if block:
+            add(block)
+        yield from in_batches(((*key, n) for key, n in held.items()), SCORE_ARROW)
+
+    found = rows.mapInArrow(scored, "kind long, step long, y long, n long") \
+        .groupBy("kind", "step", "y").agg(F.sum("n").alias("n")).toArrow()  # a row per score step at most
+    kind, step, label, n = (found.column(c).to_numpy() for c in ("kind", "step", "y", "n"))
+    scale = [1 / (1 - shares[k, v] / 2) for k, v in zip(kind.tolist(), label.tolist(), strict=True)]
+    return Detector(trees).calibrate(kind, step, label, n * np.array(scale, float))
 
 
 def _listed(spans: list[Span], kinds: tuple[str, ...]) -> str:
