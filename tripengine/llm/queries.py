@@ -1,4 +1,16 @@
 """Importing this module registers the queries of all operators."""
 
-from tripengine.llm import bpe, decontaminate, exact, jaccard, langid, licences, lm, pii, tokens, warc  # noqa: F401
+from tripengine.llm import (  # noqa: F401
+    bpe,
+    decontaminate,
+    exact,
+    jaccard,
+    langid,
+    licences,
+    lm,
+    pii,
+    runs,
+    tokens,
+    warc,
+)
 from tripengine.llm.common import QUERIES  # noqa: F401
