@@ -11,6 +11,7 @@ from tripengine.llm import (  # noqa: F401
     pii,
     runs,
     tokens,
+    vectors,
     warc,
 )
 from tripengine.llm.common import QUERIES  # noqa: F401
