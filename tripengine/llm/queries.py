@@ -9,6 +9,7 @@ from tripengine.llm import (  # noqa: F401
     licences,
     lm,
     pii,
+    quality,
     runs,
     tokens,
     vectors,
