@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tripengine import schemas
-from tripengine.operators import encode, importance, models
+from tripengine.operators import encode, importance, models, treetables
 from tripengine.operators.clean import hash_split
 from tripengine.plans import tripview as tv
 from tripengine.plans.cleaned import model_table
@@ -511,6 +511,79 @@ def imp_05(spark, sf):
         return _rounded(found, "permutation_importance")
 
 
+@query("imp_05_attribution")
+def imp_05_attribution(spark, sf):
+    """Mean absolute contribution of every feature to a forest's predictions."""
+    with importance_frame(spark, sf) as (df, names):
+        _, model = importance.forest_importance(df, names, LABEL)
+        return _rounded(treetables.mean_attributions(df, model, names), "mean_attribution")
+
+
+# two yes-or-no inputs: the forest's trees are all the same, with the input of the larger
+# gain at the root, so the value of each set of known inputs is a mean that SQL can state
+_TWO_INPUTS = """
+cells AS (
+  SELECT CAST(passenger_count > 25 AS INT) AS a, CAST(improvement_surcharge > 0.04 AS INT) AS b,
+         CAST(count(*) AS DOUBLE) AS n,
+         sum(total_amount + CASE WHEN improvement_surcharge > 0.04 THEN 15000 ELSE 0 END) AS s
+  FROM trips GROUP BY 1, 2),
+known AS (
+  SELECT a, b, n, s / n AS m, sum(s) OVER () / sum(n) OVER () AS f0,
+         sum(s) OVER (PARTITION BY a) / sum(n) OVER (PARTITION BY a) AS mean_a,
+         sum(s) OVER (PARTITION BY b) / sum(n) OVER (PARTITION BY b) AS mean_b,
+         sum(n) OVER (PARTITION BY a) / sum(n) OVER () AS p_a,
+         sum(n) OVER (PARTITION BY b) / sum(n) OVER () AS p_b
+  FROM cells),
+rooted AS (
+  SELECT *, sum(n * (mean_a - f0) ** 2) OVER () >= sum(n * (mean_b - f0) ** 2) OVER () AS a_first,
+         sum(p_a * m) OVER (PARTITION BY b) AS spread_b, sum(p_b * m) OVER (PARTITION BY a) AS spread_a
+  FROM known),
+valued AS (
+  SELECT *, CASE WHEN a_first THEN mean_a ELSE spread_a END AS f_a,
+         CASE WHEN a_first THEN spread_b ELSE mean_b END AS f_b
+  FROM rooted),
+attributed AS (
+  SELECT a, b, n, (f_a - f0 + m - f_b) / 2 AS contribution_a, (f_b - f0 + m - f_a) / 2 AS contribution_b
+  FROM valued)"""
+
+
+def _two_inputs(spark, sf):
+    """Trips with two yes-or-no inputs, and a forest that reproduces the mean of each pair."""
+    more = F.col("improvement_surcharge") > 0.04
+    df = tv.trips(spark, sf, "passenger_count", "improvement_surcharge", LABEL).select(
+        (F.col("passenger_count") > 25).cast("double").alias("a"), more.cast("double").alias("b"),
+        (F.col(LABEL) + F.when(more, 15000).otherwise(0)).alias(LABEL))
+    df = materialise(encode.assemble(["a", "b"], label=LABEL).transform(df), "two-inputs")
+    forest = models.regressor("random_forest", "features", LABEL, bootstrap=False,
+                              featureSubsetStrategy="all").fit(df)
+    return df, forest
+
+
+@query("imp_05_attribution_of_two_inputs", with_tables(f"""
+WITH {_TWO_INPUTS}
+SELECT a, b, CAST(n AS BIGINT) AS n, round(contribution_a, 2) AS contribution_a,
+       round(contribution_b, 2) AS contribution_b
+FROM attributed""", "trips"))
+def imp_05_two(spark, sf):
+    df, forest = _two_inputs(spark, sf)
+    cells = df.groupBy("a", "b").agg(F.count("*").alias("n"))
+    cells = encode.assemble(["a", "b"]).transform(cells)
+    return treetables.attributions(cells, forest).select(
+        F.col("a").cast("int").alias("a"), F.col("b").cast("int").alias("b"), "n",
+        *[F.round(F.get("contributions", F.lit(i)), 2).alias(f"contribution_{c}") for i, c in enumerate("ab")])
+
+
+@query("imp_05_mean_attribution_of_two_inputs", with_tables(f"""
+WITH {_TWO_INPUTS}
+SELECT 'a' AS feature, round(sum(n * abs(contribution_a)) / sum(n), 2) AS mean_attribution FROM attributed
+UNION ALL
+SELECT 'b', round(sum(n * abs(contribution_b)) / sum(n), 2) FROM attributed""", "trips"))
+def imp_05_two_means(spark, sf):
+    df, forest = _two_inputs(spark, sf)
+    return treetables.mean_attributions(df, forest, ["a", "b"]).withColumn(
+        "mean_attribution", F.round("mean_attribution", 2))
+
+
 @query("imp_06_merged_importance")
 def imp_06(spark, sf):
     with importance_frame(spark, sf) as (df, names):
