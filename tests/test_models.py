@@ -218,3 +218,50 @@ def test_clusters_of_separate_places(spark):
 def test_scoring_row_has_the_model_inputs():
     assert set(schemas.SCORING_ROW.names) == set(schemas.CATEGORICAL + schemas.NUMERIC)
     assert set(schemas.MODEL_COLUMNS) - {schemas.LABEL} == set(schemas.SCORING_ROW.names)
+
+
+POINTS = {
+    "decision_tree": {"maxDepth": [1, 3, 6], "maxBins": [8, 32]},
+    "gradient_boosting": {"maxIter": [1, 3, 5], "maxDepth": [2]},
+}
+
+
+@pytest.mark.parametrize("name", list(POINTS))
+def test_nested_scores_are_those_of_separate_fits(parts, name, monkeypatch):
+    held = models.encoded(*parts, CATEGORICAL, NUMERIC, "fare", "ordinal")
+    points, fits, made = models.grid_points(POINTS[name]), [], models.regressor
+    want = [models.r2_evaluator("fare").evaluate(
+        made(name, held.features, "fare", **p).fit(held.train).transform(held.held_out)) for p in points]
+    monkeypatch.setattr(models, "regressor", lambda *a, **k: fits.append(k) or made(*a, **k))
+    assert models.nested_scores(name, held, "fare", points) == pytest.approx(want, abs=1e-9)
+    assert len(fits) == len(POINTS[name].get("maxBins", [0]))
+
+
+def test_forest_is_fitted_once_and_deeper_is_better(parts, monkeypatch):
+    held = models.encoded(*parts, CATEGORICAL, NUMERIC, "fare", "one_hot")
+    fits, made = [], models.regressor
+    monkeypatch.setattr(models, "regressor", lambda *a, **k: fits.append(k) or made(*a, **k))
+    points = models.grid_points({"maxDepth": [1, 6], "numTrees": [3, 9]})
+    scores = models.nested_scores("random_forest", held, "fare", points)
+    assert fits == [{"maxDepth": 6, "numTrees": 9}]
+    assert max(scores[:2]) < min(scores[2:])
+
+
+def test_folded_board_and_search_agree_with_generic_folds(spark, parts):
+    train, test = parts
+    train = train.select("zone", "bin", "minutes", "people", "fare")
+    board = models.leaderboard(spark, train, test, CATEGORICAL, NUMERIC, "fare", ["ordinal", "target_mean"],
+                               ["linear_reg", "decision_tree"], folds=3)
+    for r in board.collect():
+        pipeline = models.regression_pipeline(r.model_name, r.encoding, CATEGORICAL, NUMERIC, "fare")
+        assert r.validation_r2 == pytest.approx(models.cross_validate(pipeline, train, "fare", 3).avgMetrics[0], abs=1e-5)
+
+
+def test_many_categories_are_refitted_instead(spark, parts, monkeypatch):
+    train = parts[0].select("zone", "bin", "minutes", "people", "fare")
+    grid = models.grid_points({"regParam": [0.01, 50.0]})
+    short = models.linear_scores(train, CATEGORICAL, NUMERIC, "fare", ["one_hot"], 2, grid)["one_hot"]
+    monkeypatch.setattr(models.gram, "describe_columns",
+                        lambda *a: (_ for _ in ()).throw(models.gram.TooManyColumns("many")))
+    assert models.linear_scores(train, CATEGORICAL, NUMERIC, "fare", ["one_hot"], 2, grid)["one_hot"] == \
+        pytest.approx(short, abs=1e-5)

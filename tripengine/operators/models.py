@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from itertools import product
+from math import isnan
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
@@ -22,8 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripengine.functions.predicates import hash_bucket
+from tripengine.operators import gram
 from tripengine.operators.clean import hash_split
 from tripengine.operators.encode import assemble, encoding_stages
+from tripengine.operators.treetables import truncated
+from tripengine.session import materialise
 
 SEED = 42
 
@@ -44,6 +49,17 @@ GRIDS = {
 FOLDS = {"linear_reg": 3, "decision_tree": 2}
 TRAIN_RATIO = 0.8
 
+# Settings of which one fit at the largest value holds all smaller ones: a tree
+# cut off at a depth, the first trees of a forest, the first iterations.
+NESTED = {
+    "decision_tree": ("maxDepth",),
+    "random_forest": ("maxDepth", "numTrees"),
+    "gradient_boosting": ("maxIter",),
+}
+# Models that are fitted at a time. Their jobs share the session's executors;
+# with spark.scheduler.mode=FAIR each fit has a pool of its own.
+AT_A_TIME = 4
+
 LEADERBOARD = T.StructType([
     T.StructField("encoding", T.StringType()),
     T.StructField("model_name", T.StringType()),
@@ -166,6 +182,119 @@ def _board_row(encoding, name, params, validation, predictions, label) -> tuple:
     return (encoding, name, params, validation, m["r2"], m["mae"], m["rmse"])
 
 
+def concurrently(df: DataFrame, work: Callable, tasks: Iterable) -> list:
+    """The results of ``work`` for each task, a few at a time, each in a scheduler pool of its own."""
+    context, tasks = df.sparkSession.sparkContext, list(tasks)
+
+    def pooled(numbered):
+        i, task = numbered
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{i % AT_A_TIME}")
+        return work(task)
+
+    if len(tasks) < 2:
+        return [work(task) for task in tasks]
+    with ThreadPool(min(AT_A_TIME, len(tasks))) as pool:
+        return pool.map(pooled, enumerate(tasks), chunksize=1)
+
+
+class Encoded(NamedTuple):
+    """An encoding fitted on training rows, and both parts as stored tables of features and label."""
+    encoder: PipelineModel
+    features: str
+    train: DataFrame
+    held_out: DataFrame
+
+
+def encoded(train: DataFrame, held_out: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
+            label: str, encoding: str) -> Encoded:
+    """Rows encoded once for all models that read them. The tables are written, so a lost
+    executor costs a file's reading, not the whole chain before it."""
+    stages, features = encoding_stages(encoding, categorical, numeric, label)
+    encoder = Pipeline(stages=stages).fit(train)
+    stored = [materialise(encoder.transform(df).select(features, label), "encoded") for df in (train, held_out)]
+    return Encoded(encoder, features, *stored)
+
+
+def grid_points(params: Mapping[str, Sequence]) -> list[dict]:
+    """All combinations of a grid's values."""
+    return [dict(zip(params, values, strict=True)) for values in product(*params.values())]
+
+
+def nested_scores(name: str, parts: Encoded, label: str, points: Sequence[Mapping]) -> list[float]:
+    """R2 on the held-out rows of each grid point.
+
+    Points that differ in nested settings only share one fit, at the largest
+    of their values; the others are cut out of it. All are scored in one pass.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        outer = tuple(sorted((k, v) for k, v in point.items() if k not in NESTED[name]))
+        groups.setdefault(outer, []).append(i)
+
+    def of_group(group: tuple[tuple, list[int]]) -> list[tuple[int, float]]:
+        outer, members = group
+        largest = {k: max(points[i][k] for i in members) for k in NESTED[name] if k in points[members[0]]}
+        model = regressor(name, parts.features, label, **dict(outer), **largest).fit(parts.train)
+        seen = parts.held_out
+        for i in members:
+            own = {k: points[i][k] for k in largest}
+            cut = model if own == largest else truncated(
+                model, own.get("maxDepth"), own.get("numTrees", own.get("maxIter")))
+            seen = cut.setPredictionCol(f"prediction_{i}").transform(seen)
+        y = F.col(label)
+        found = seen.agg(*[
+            (1 - F.try_divide(F.sum((y - F.col(f"prediction_{i}")) ** 2), F.var_pop(y) * F.count(y))).alias(str(i))
+            for i in members]).first()
+        return [(i, float("nan") if found[str(i)] is None else found[str(i)]) for i in members]
+
+    scores = dict(pair for pairs in concurrently(parts.train, of_group, groups.items()) for pair in pairs)
+    return [scores[i] for i in range(len(points))]
+
+
+def dealt(train: DataFrame, folds: int) -> DataFrame:
+    """The rows with their fold: a hash of their values, wherever they lie; equal rows share one."""
+    return train.withColumn("fold", hash_bucket(*train.columns, buckets=folds, salt="fold").cast("int"))
+
+
+def validation_parts(train: DataFrame, folds: int | None) -> list[tuple[DataFrame, DataFrame]]:
+    """Training and validation rows of each fold, or of one split by ``TRAIN_RATIO``."""
+    if folds is None:
+        return [hash_split(train, round(100 * TRAIN_RATIO), *train.columns, salt="validation")]
+    rows = dealt(train, folds)
+    return [tuple(rows.where(c).drop("fold") for c in (F.col("fold") != f, F.col("fold") == f)) for f in range(folds)]
+
+
+def _mean(values: Sequence[float]) -> float:
+    """The mean of the folds that can be scored."""
+    there = [v for v in values if not isnan(v)]
+    return sum(there) / len(there) if there else float("nan")
+
+
+def linear_scores(train: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str,
+                  encodings: Sequence[str], folds: int, points: Sequence[Mapping]) -> dict[str, list[float]]:
+    """Mean R2 over folds of each encoding and grid point of a linear model.
+
+    Out of one pass over the rows. With more categories than a table of
+    products should hold, every fold and point is fitted by Spark instead.
+    """
+    try:
+        columns = gram.describe_columns(train, categorical, numeric, label)
+    except gram.TooManyColumns:
+        return {e: _refitted_scores(train, categorical, numeric, label, e, folds, points) for e in encodings}
+    found = gram.products(dealt(train, folds), columns, "fold", folds)
+    return {e: [_mean(own) for own in gram.cross_validated(found, e, points).tolist()] for e in encodings}
+
+
+def _refitted_scores(train, categorical, numeric, label, encoding, folds, points) -> list[float]:
+    evaluator, scores = r2_evaluator(label), []
+    for fitted, held_out in validation_parts(train, folds):
+        parts = encoded(fitted, held_out, categorical, numeric, label, encoding)
+        scores.append(concurrently(train, lambda point: evaluator.evaluate(
+            regressor("linear_reg", parts.features, label, **point).fit(parts.train).transform(parts.held_out)),
+            points))
+    return [_mean(own) for own in zip(*scores, strict=True)]
+
+
 def leaderboard(
     spark: SparkSession, train: DataFrame, test: DataFrame, categorical: Sequence[str],
     numeric: Sequence[str], label: str, encodings: Sequence[str], models: Sequence[str],
@@ -173,32 +302,34 @@ def leaderboard(
 ) -> DataFrame:
     """Every encoding with every model, all metrics on the hold-out table.
 
-    With ``folds`` each pair is cross-validated and ``validation_r2`` filled.
-    The encoding is fitted once per encoding where no folds are asked for.
+    With ``folds`` each pair is cross-validated and ``validation_r2`` filled:
+    linear models from sums of products per fold, trees by a fit for each fold.
+    Each encoding is fitted once for all models, and fits run side by side.
     """
-    train, test = _kept(train), _kept(test)
-    rows = []
-    for encoding in encodings:
-        stages, features = encoding_stages(encoding, categorical, numeric, label)
-        if folds is None:
-            encoder = Pipeline(stages=stages).fit(train)
-            encoded = _kept(encoder.transform(train).select(features, label))
-            held_out = _kept(encoder.transform(test).select(features, label))
-        for name in models:
-            model = regressor(name, features, label)
-            if folds is None:
-                fitted, validation = model.fit(encoded), None
-                predictions = fitted.transform(held_out)
-            else:
-                cv = cross_validate(Pipeline(stages=[*stages, model]), train, label, folds)
-                validation, predictions = float(cv.avgMetrics[0]), cv.transform(test)
-            rows.append(_board_row(encoding, name, {}, validation, predictions, label))
-        if folds is None:
-            encoded.unpersist()
-            held_out.unpersist()
-    train.unpersist()
-    test.unpersist()
-    return spark.createDataFrame(rows, LEADERBOARD)
+    train, test = materialise(train, "train"), materialise(test, "test")
+
+    def encode_parts(pair: tuple) -> Encoded:
+        encoding, (fitted, held_out) = pair
+        return encoded(fitted, held_out, categorical, numeric, label, encoding)
+
+    splits = [] if folds is None or set(models) == {"linear_reg"} else validation_parts(train, folds)
+    linear = linear_scores(train, categorical, numeric, label, encodings, folds, [{}]) \
+        if folds is not None and "linear_reg" in models else {}
+    wanted = list(product(encodings, [(train, test), *splits]))
+    stored = dict(zip([(e, i) for e in encodings for i in range(1 + len(splits))],
+                      concurrently(train, encode_parts, wanted), strict=True))
+
+    def row(pair: tuple[str, str]) -> tuple:
+        encoding, name = pair
+        whole = stored[encoding, 0]
+        fitted = regressor(name, whole.features, label).fit(whole.train)
+        validation = None
+        if folds is not None:
+            validation = linear[encoding][0] if name == "linear_reg" else _mean(
+                [nested_scores(name, stored[encoding, 1 + f], label, [{}])[0] for f in range(folds)])
+        return _board_row(encoding, name, {}, validation, fitted.transform(whole.held_out), label)
+
+    return spark.createDataFrame(concurrently(train, row, list(product(encodings, models))), LEADERBOARD)
 
 
 def tune(
@@ -206,24 +337,34 @@ def tune(
     numeric: Sequence[str], label: str, models: Sequence[str], encoding: str = "one_hot",
     grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Tune models over their grids; a row per model and the best pipelines."""
-    train, test = _kept(train), _kept(test)
-    rows, best = [], {}
-    for name in models:
-        pipeline = regression_pipeline(name, encoding, categorical, numeric, label)
-        if name in FOLDS:
-            search = cross_validate(pipeline, train, label, FOLDS[name], grids[name])
-            validation = max(search.avgMetrics)
+    """Tune models over their grids; a row per model and the best pipelines.
+
+    Linear models read the rows once for all folds and points; trees are fitted
+    once for all points that one fit holds (``NESTED``). The best point of each
+    model is then fitted on all training rows. Of equal scores the first wins.
+    """
+    train, test = materialise(train, "train"), materialise(test, "test")
+    whole = encoded(train, test, categorical, numeric, label, encoding)
+    kinds = {FOLDS.get(name) for name in models if name != "linear_reg"}
+    parts = {folds: [encoded(*pair, categorical, numeric, label, encoding) for pair in validation_parts(train, folds)]
+             for folds in kinds}
+
+    def tuned(name: str) -> tuple[tuple, PipelineModel]:
+        points = grid_points(grids[name])
+        if name == "linear_reg":
+            scores = linear_scores(train, categorical, numeric, label, [encoding], FOLDS[name], points)[encoding]
         else:
-            search = validate_split(pipeline, train, label, grids[name])
-            validation = max(search.validationMetrics)
-        best[name] = search.bestModel
-        params = best_params(search.bestModel, list(grids[name]))
-        predictions = search.bestModel.transform(test)
-        rows.append(_board_row(encoding, name, params, float(validation), predictions, label))
-    train.unpersist()
-    test.unpersist()
-    return spark.createDataFrame(rows, LEADERBOARD), best
+            found = [nested_scores(name, own, label, points) for own in parts[FOLDS.get(name)]]
+            scores = [_mean(own) for own in zip(*found, strict=True)]
+        best = max(range(len(points)), key=lambda i: (not isnan(scores[i]), scores[i]))
+        fitted = regressor(name, whole.features, label, **points[best]).fit(whole.train)
+        pipeline = PipelineModel([*whole.encoder.stages, fitted])
+        params = best_params(pipeline, list(grids[name]))
+        return _board_row(encoding, name, params, scores[best], fitted.transform(whole.held_out), label), pipeline
+
+    results = dict(zip(models, concurrently(train, tuned, models), strict=True))
+    return spark.createDataFrame([row for row, _ in results.values()], LEADERBOARD), \
+        {name: pipeline for name, (_, pipeline) in results.items()}
 
 
 def cluster_points(df: DataFrame, columns: Sequence[str], k: int = 10, seed: int = SEED) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tripengine import schemas
-from tripengine.operators import encode, importance, models, treetables
+from tripengine.functions.predicates import hash_bucket
+from tripengine.operators import encode, gram, importance, models, treetables
 from tripengine.operators.clean import hash_split
 from tripengine.plans import tripview as tv
 from tripengine.plans.cleaned import model_table
@@ -427,6 +428,93 @@ def tun_04_means(spark, sf):
     return board.select("model_name", F.explode("hyperparameters").alias("parameter", "value"))
 
 
+_FOLD_SQL = """
+dealt AS (
+  SELECT *, CAST('0x' || substr(md5('fold|' || order_key || '|' || line_number), 1, 8) AS BIGINT) % {folds} AS fold
+  FROM trips)"""
+
+
+def _dealt(spark, sf, folds, *columns):
+    rows = tv.trips(spark, sf, *KEYS, *columns)
+    return rows.withColumn("fold", hash_bucket(*KEYS, buckets=folds, salt="fold").cast("int"))
+
+
+@query("tun_02_penalties_by_fold", with_tables(f"""
+WITH {_FOLD_SQL.format(folds=3)},
+seen AS (
+  SELECT f.fold, regr_slope(total_amount, fare_amount) AS slope, corr(total_amount, fare_amount) AS r,
+         stddev_pop(total_amount) AS sy, stddev_pop(fare_amount) AS sx, avg(total_amount) AS my, avg(fare_amount) AS mx
+  FROM dealt d JOIN (SELECT DISTINCT fold FROM dealt) f ON d.fold <> f.fold GROUP BY 1),
+grid AS (SELECT CAST(strength AS DOUBLE) AS strength, CAST(l1_share AS DOUBLE) AS l1_share
+         FROM (VALUES (0.0), (1000.0), (20000.0)) r(strength), (VALUES (0.0), (0.5), (1.0)) e(l1_share)),
+lines AS (
+  SELECT fold, strength, l1_share, mx, my,
+         sign(r) * greatest(abs(r) - strength * l1_share / sy, 0) / (1 + strength * (1 - l1_share) / sy) * sy / sx AS w
+  FROM seen, grid)
+SELECT strength, l1_share, d.fold, round(1 - sum((total_amount - my - w * (fare_amount - mx)) ** 2)
+         / (var_pop(total_amount) * count(*)), 6) AS r2
+FROM dealt d JOIN lines l ON d.fold = l.fold GROUP BY ALL""", "trips"))
+def tun_02_penalties(spark, sf):
+    """R2 of every penalty on every fold: a soft threshold of the one slope."""
+    df = _dealt(spark, sf, 3, "fare_amount", LABEL)
+    grid = models.grid_points({"regParam": [0.0, 1000.0, 20000.0], "elasticNetParam": [0.0, 0.5, 1.0]})
+    found = gram.products(df, gram.describe_columns(df, [], ["fare_amount"], LABEL), "fold", 3)
+    scores = gram.cross_validated(found, "one_hot", grid)
+    rows = [(p["regParam"], p["elasticNetParam"], f, round(r, 6))
+            for p, own in zip(grid, scores.tolist(), strict=True) for f, r in enumerate(own)]
+    return spark.createDataFrame(rows, "strength double, l1_share double, fold int, r2 double")
+
+
+@query("tun_01_folds_of_target_means", with_tables(f"""
+WITH {_FOLD_SQL.format(folds=3)},
+means AS (
+  SELECT f.fold, payment_type AS k, avg(total_amount) AS m
+  FROM dealt d JOIN (SELECT DISTINCT fold FROM dealt) f ON d.fold <> f.fold GROUP BY ALL)
+SELECT d.fold, round(1 - sum((total_amount - m) ** 2) / (var_pop(total_amount) * count(*)), 6) AS r2
+FROM dealt d JOIN means ON d.fold = means.fold AND payment_type IS NOT DISTINCT FROM k GROUP BY 1""", "trips"))
+def tun_01_folds(spark, sf):
+    """A line through target means predicts the mean per code of the other folds."""
+    df = _dealt(spark, sf, 3, "payment_type", LABEL)
+    found = gram.products(df, gram.describe_columns(df, ["payment_type"], [], LABEL), "fold", 3)
+    [scores] = gram.cross_validated(found, "target_mean", [{}]).tolist()
+    return spark.createDataFrame([(f, round(r, 6)) for f, r in enumerate(scores)], "fold int, r2 double")
+
+
+@query("tun_02_depths_by_fold", with_tables(f"""
+WITH {_FOLD_SQL.format(folds=2)},
+coded AS (SELECT fold, CAST(payment_type AS INT) AS k, total_amount AS y FROM dealt WHERE payment_type IS NOT NULL),
+sums AS (
+  SELECT f.fold, k, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s
+  FROM coded d JOIN (SELECT DISTINCT fold FROM coded) f ON d.fold <> f.fold GROUP BY ALL),
+sides AS (
+  SELECT fold, k, sum(n) OVER low AS n1, sum(s) OVER low AS s1,
+         sum(n) OVER (PARTITION BY fold) AS n, sum(s) OVER (PARTITION BY fold) AS s
+  FROM sums WINDOW low AS (PARTITION BY fold ORDER BY k)),
+split AS (
+  SELECT fold, arg_max(k, s1 * s1 / n1 + (s - s1) ** 2 / (n - n1)) AS up_to,
+         arg_max(s1 / n1, s1 * s1 / n1 + (s - s1) ** 2 / (n - n1)) AS low_mean,
+         arg_max((s - s1) / (n - n1), s1 * s1 / n1 + (s - s1) ** 2 / (n - n1)) AS high_mean
+  FROM sides WHERE n > n1 GROUP BY 1),
+predicted AS (
+  SELECT 1 AS depth, coded.fold, y, CASE WHEN k <= up_to THEN low_mean ELSE high_mean END AS p
+  FROM coded JOIN split ON coded.fold = split.fold
+  UNION ALL
+  SELECT 4, coded.fold, y, s / n FROM coded JOIN sums ON coded.fold = sums.fold AND coded.k = sums.k)
+SELECT depth, fold, round(1 - sum((y - p) ** 2) / (var_pop(y) * count(*)), 6) AS r2
+FROM predicted GROUP BY 1, 2""", "trips"))
+def tun_02_depths(spark, sf):
+    """One deep tree per fold, scored at depth 1 (its best split) and at depth 4 (a mean per code)."""
+    df = _dealt(spark, sf, 2, "payment_type", LABEL).dropna(subset=["payment_type"])
+    df = encode.assemble(["code"], label=LABEL).transform(
+        df.withColumn("code", F.col("payment_type").cast("double"))).select("features", LABEL, "fold")
+    df, rows = materialise(df, "codes"), []
+    for fold in range(2):
+        parts = models.Encoded(None, "features", df.where(F.col("fold") != fold), df.where(F.col("fold") == fold))
+        scores = models.nested_scores("decision_tree", parts, LABEL, [{"maxDepth": 1}, {"maxDepth": 4}])
+        rows += [(d, fold, round(r, 6)) for d, r in zip((1, 4), scores, strict=True)]
+    return spark.createDataFrame(rows, "depth int, fold int, r2 double")
+
+
 @query("tun_01_cross_validation")
 def tun_01(spark, sf):
     train, test = model_parts(spark, sf)
