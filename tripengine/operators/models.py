@@ -27,7 +27,7 @@ from tripengine.functions.predicates import hash_bucket
 from tripengine.operators import gram
 from tripengine.operators.clean import hash_split
 from tripengine.operators.encode import assemble, encoding_stages
-from tripengine.operators.treetables import truncated
+from tripengine.operators.treetables import truncations
 from tripengine.session import materialise
 
 SEED = 42
@@ -235,12 +235,12 @@ def nested_scores(name: str, parts: Encoded, label: str, points: Sequence[Mappin
         outer, members = group
         largest = {k: max(points[i][k] for i in members) for k in NESTED[name] if k in points[members[0]]}
         model = regressor(name, parts.features, label, **dict(outer), **largest).fit(parts.train)
-        seen = parts.held_out
+        smaller = [i for i in members if any(points[i][k] != v for k, v in largest.items())]
+        cuts = truncations(model, [(points[i].get("maxDepth") if "maxDepth" in largest else None,
+                                    points[i].get("numTrees", points[i].get("maxIter"))) for i in smaller])
+        cut, seen = dict(zip(smaller, cuts, strict=True)), parts.held_out
         for i in members:
-            own = {k: points[i][k] for k in largest}
-            cut = model if own == largest else truncated(
-                model, own.get("maxDepth"), own.get("numTrees", own.get("maxIter")))
-            seen = cut.setPredictionCol(f"prediction_{i}").transform(seen)
+            seen = cut.get(i, model).setPredictionCol(f"prediction_{i}").transform(seen)
         y = F.col(label)
         found = seen.agg(*[
             (1 - F.try_divide(F.sum((y - F.col(f"prediction_{i}")) ** 2), F.var_pop(y) * F.count(y))).alias(str(i))

@@ -74,62 +74,70 @@ def forest_of(model) -> Forest:
 
 
 def truncated(model, depth: int | None = None, trees: int | None = None):
-    """The model cut off at a depth, or with its first trees only, as a model of the same kind.
+    """The model cut off at a depth, or with its first trees only, as a model of the same kind."""
+    return truncations(model, [(depth, trees)])[0]
+
+
+def truncations(model, cuts: Sequence[tuple[int | None, int | None]]) -> list:
+    """A model for each (depth, number of trees) to keep, all cut out of one saved model.
 
     A node predicts the mean of the rows that reached it, so a tree cut off at
     a depth is the tree that greedy growth to that depth gives.
     """
     spark, path = SparkSession.active(), _saved(model)
     data = spark.read.parquet(f"{path}/data")
-    keep = data if trees is None or _is_tree(model) else data.where(F.col("treeID") < trees)
-    rows = keep.orderBy("id" if _is_tree(model) else "treeID", *([] if _is_tree(model) else ["nodeData.id"])).collect()
-    done, group = [], []
-    for r in [*rows, None]:
-        node = r if r is None or _is_tree(model) else r["nodeData"]
-        if group and (node is None or node["id"] == 0):
-            done += _cut(group, depth)
-            group = []
-        if node is not None:
-            group.append((None if _is_tree(model) else r["treeID"], node.asDict(recursive=True)))
-    out = scratch(spark, "model")
-    flat = [n if t is None else {"treeID": t, "nodeData": n} for t, n in done]
-    spark.createDataFrame(flat, data.schema).coalesce(1).write.parquet(f"{out}/data")
+    data = data.select(F.lit(0).alias("tree"), "*") if _is_tree(model) else \
+        data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    shape = data.select("tree", "id", "leftChild", "rightChild").orderBy("tree", "id").toArrow()
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    return [_written(model, data, shape, meta, path, depth, trees) for depth, trees in cuts]
+
+
+def _written(model, data: DataFrame, shape: pa.Table, meta: dict, path: str, depth: int | None, trees: int | None):
+    spark, out = data.sparkSession, scratch(data.sparkSession, "model")
+    renumbered = spark.createDataFrame(_renumbered(shape, depth))
+    leaf = F.col("cut")
+    nodes = data.join(renumbered, ["tree", "id"]).where("true" if trees is None else f"tree < {trees}").select(
+        "tree", F.col("new_id").alias("id"), "prediction", "impurity", "impurityStats", "rawCount",
+        F.when(leaf, -1.0).otherwise(F.col("gain")).alias("gain"),
+        F.col("new_left").alias("leftChild"), F.col("new_right").alias("rightChild"),
+        F.when(leaf, F.struct(F.lit(-1).alias("featureIndex"),
+                              F.array().cast("array<double>").alias("leftCategoriesOrThreshold"),
+                              F.lit(-1).alias("numCategories"))).otherwise(F.col("split")).alias("split"))
+    meta = meta | {"paramMap": dict(meta["paramMap"])}
     if depth is not None:
         meta["paramMap"]["maxDepth"] = depth
-    if not _is_tree(model):
+    if _is_tree(model):
+        nodes = nodes.drop("tree")
+    else:
         every = spark.read.parquet(f"{path}/treesMetadata")
         kept = every if trees is None else every.where(F.col("_1") < trees)
         kept.coalesce(1).write.parquet(f"{out}/treesMetadata")
         meta["numTrees"] = kept.count()
         if trees is not None:
             meta["paramMap"]["maxIter" if "maxIter" in meta["paramMap"] else "numTrees"] = meta["numTrees"]
+        nodes = nodes.select(F.col("tree").alias("treeID"), F.struct(*nodes.columns[1:]).alias("nodeData"))
+    nodes.coalesce(1).write.parquet(f"{out}/data")
     spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{out}/metadata")
     return type(model).load(out)
 
 
-def _cut(nodes: list[tuple], depth: int | None) -> list[tuple]:
-    """Nodes of one tree down to a depth, numbered anew in preorder."""
-    if depth is None:
-        return nodes
-    order, open_ = [], [(0, 0)]
-    while open_:
-        at, level = open_.pop()
-        order.append((at, level))
-        node = nodes[at][1]
-        if level < depth and node["leftChild"] >= 0:
-            open_ += [(node["rightChild"], level + 1), (node["leftChild"], level + 1)]
-    new = {at: i for i, (at, _) in enumerate(order)}
-    kept = []
-    for at, level in order:
-        tree, node = nodes[at]
-        if level == depth and node["leftChild"] >= 0:
-            node = node | {"leftChild": -1, "rightChild": -1, "gain": -1.0, "split": {
-                "featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}}
-        elif node["leftChild"] >= 0:
-            node = node | {"leftChild": new[node["leftChild"]], "rightChild": new[node["rightChild"]]}
-        kept.append((tree, node | {"id": new[at]}))
-    return kept
+def _renumbered(shape: pa.Table, depth: int | None) -> pa.Table:
+    """Nodes down to a depth with new numbers: those kept stay in preorder, without gaps."""
+    tree, number, left, right = (shape.column(c).to_numpy().astype(np.int64) for c in shape.column_names)
+    first = np.searchsorted(tree, tree)  # nodes of a tree are numbered from 0 without gaps
+    level = np.zeros(len(tree), np.int64)
+    inner = left >= 0
+    for at in np.flatnonzero(inner):  # parents come before their children
+        level[first[at] + left[at]] = level[first[at] + right[at]] = level[at] + 1
+    kept = np.ones(len(tree), bool) if depth is None else level <= depth
+    cut = inner & (level == depth) if depth is not None else np.zeros(len(tree), bool)
+    new = np.cumsum(kept) - 1
+    new -= new[first]  # roots are always kept
+    goes_on = inner & ~cut
+    sides = [np.where(goes_on, new[np.where(goes_on, first + side, 0)], -1) for side in (left, right)]
+    columns = {"tree": tree, "id": number, "new_id": new, "new_left": sides[0], "new_right": sides[1]}
+    return pa.table({k: pa.array(v[kept].astype(np.int32)) for k, v in columns.items()} | {"cut": pa.array(cut[kept])})
 
 
 class Path(NamedTuple):
