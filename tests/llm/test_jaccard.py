@@ -117,3 +117,42 @@ def test_connected_components(session):
     linked = {n for a, b in links if a != b for n in (a, b)}
     assert got == {n: of[n] for n in linked}
     assert components(session.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_large_groups_of_unequal_members(docs_of, monkeypatch):
+    """Members of one group that do not all link: stars are repeated, the rest is compared."""
+    monkeypatch.setattr(jaccard, "LARGE", 4)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for _ in range(80):  # a common half, and a few of many small changes in the other
+        own = list(base)
+        for _ in range(draw.randrange(5)):
+            own[draw.randrange(40, 80)] = f"x{draw.randrange(60)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    assert len({r[2] for r in brute(rows, 3, 90)}) > 3
+    assert found(docs_of(rows), 3, 90) == brute(rows, 3, 90)
+
+
+def test_rest_rows_do_not_grow_with_pairs(docs_of, monkeypatch):
+    """Where three quarters of all pairs of a large group link, stars leave little to compare."""
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(draw.randrange(1, 3)):
+            own[draw.randrange(200)] = f"y{i}"
+        rows.append((i, " ".join(own)))
+    seen, rest = [], jaccard.rest_pairs
+    monkeypatch.setattr(jaccard, "rest_pairs", lambda *a: seen.append(rest(*a)) or seen[-1])
+    assert found(docs_of(rows), 3, 90) == brute(rows, 3, 90)
+    assert seen[0].count() < 10 * len(rows)
+
+
+def test_missing_and_repeated_ids_find_their_texts(docs_of):
+    texts = cloud(7, 30, 60, 2)
+    rows = [(None, t) for t in texts[:15]] + [(7, t) for t in texts[15:]]
+    assert found(docs_of(rows), 3, 90) == brute(rows, 3, 90)

@@ -25,7 +25,11 @@ From signatures to links:
    that differs from group to group. Pairs must pass the size bound and a
    parity sketch, which never rejects a link. What is left is compared exactly,
    on sets worked out anew from whole texts.
-4. Rest: in groups that the links found so far leave in several components,
+4. More stars: while a large group is left in several components, its members
+   are paired with a few more of them, from components drawn anew each round,
+   until a round finds no link. A round has rows by the members, not by their
+   pairs, and the components that it joins need no further comparison.
+5. Rest: in groups that the links found so far leave in several components,
    members of different components are compared, in blocks of bounded size,
    first by sketch, then exactly. So every pair that shares a signature is
    either compared, or known to be connected, or ruled out by a bound.
@@ -42,7 +46,7 @@ take part and come after all others. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -59,10 +63,13 @@ PIECES, SPARE = 1, 0
 #: Signatures a task looks at together, how many equal ones count as frequent there,
 #: and members of a block that are compared with each other.
 LOOK, FREQUENT, BLOCK = 1 << 18, 24, 1024
+#: Members from which on a group is large, and how many of them each other one meets in a round.
+LARGE, PIVOTS = 32, 8
 WORDS_KEPT = 1 << 16
 
 U64 = np.uint64
-SET_ARROW = pa.schema([("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+SET_ARROW = pa.schema([("doc_id", pa.int64()), ("row_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()),
+                       ("sketch", pa.binary())])
 SIGNATURE = "sig long, spread int, sid long, other long"
 SIGNATURE_ARROW = pa.schema([("sig", pa.int64()), ("spread", pa.int32()), ("sid", pa.int64()), ("other", pa.int64())])
 PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -213,22 +220,29 @@ def _given(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                        F.col(f"`{text_column}`").cast("string").alias("text"))
 
 
+def with_row_id(rows: DataFrame) -> DataFrame:
+    """The rows with a hash of id and text, by which a set finds its text again: many rows
+    may lack an id or share one, but those with one text need looking at once."""
+    return rows.withColumn("row_id", F.xxhash64("doc_id", "text"))
+
+
 def sets(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id",
          text_column: str = "text") -> DataFrame:
-    """doc_id, sid, n and sketch of every row; sid is null for the empty set. A written table."""
+    """doc_id, row_id, sid, n and sketch of every row; sid is null for the empty set. A written table."""
     def rows(batches):
         features, scheme = Features(width), Scheme(percent)
 
         def found():
             for b in batches:
-                for doc_id, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for doc_id, text, row_id in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     own = features.of(text or "")
-                    yield (doc_id, set_id(own), len(own), scheme.sketch(own)) if len(own) \
-                        else (doc_id, None, 0, None)
+                    yield (doc_id, row_id, set_id(own), len(own), scheme.sketch(own)) if len(own) \
+                        else (doc_id, row_id, None, 0, None)
         yield from in_batches(found(), SET_ARROW)
 
-    given = _given(docs, id_column, text_column)
-    return materialise(given.mapInArrow(rows, "doc_id long, sid long, n long, sketch binary"), "sets")
+    given = with_row_id(_given(docs, id_column, text_column))
+    return materialise(given.mapInArrow(
+        rows, "doc_id long, row_id long, sid long, n long, sketch binary"), "sets")
 
 
 def signature_groups(docs: DataFrame, width: int, percent: int, id_column: str = "doc_id",
@@ -349,13 +363,11 @@ def passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(rows, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
-             id_column: str, text_column: str) -> DataFrame:
-    """The pairs that link, by their whole sets; a written table."""
-    pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+def features_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
+                id_column: str, text_column: str) -> DataFrame:
+    """sid and features of the wanted sets, out of whole texts; a written table."""
     one_each = wanted.join(classes, "sid").select("sid", "row_id")
-    texts = _given(docs, id_column, text_column).withColumn("row_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    texts = with_row_id(_given(docs, id_column, text_column))
 
     def made(batches):
         features = Features(width)
@@ -363,14 +375,18 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
             sids, found = b.column("sid").to_pylist(), []
             for text in b.column("text").to_pylist():
                 found.append(features.of(text or ""))
-            # an id may belong to rows with other texts
+            # two texts may share a hash
             keep = [i for i, own in enumerate(found) if len(own) and set_id(own) == sids[i]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([sids[i] for i in keep], pa.int64()),
                  pa.array([found[i].tobytes() for i in keep], pa.binary())], names=["sid", "features"])
 
     held = texts.join(one_each, "row_id").select("sid", "text").mapInArrow(made, "sid long, features binary")
-    held = materialise(held.dropDuplicates(["sid"]), "features")
+    return materialise(held.dropDuplicates(["sid"]), "features")
+
+
+def linking(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link, by their whole sets; a written table."""
     one = held.select(F.col("sid").alias("a"), F.col("features").alias("f_a"))
     two = held.select(F.col("sid").alias("b"), F.col("features").alias("f_b"))
 
@@ -386,6 +402,58 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
     return materialise(both.mapInArrow(compared, "a long, b long"), "links")
 
 
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
+             id_column: str, text_column: str) -> DataFrame:
+    """The pairs that link, by their whole sets; a written table."""
+    pairs = materialise(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    return linking(pairs, features_of(wanted, docs, classes, width, id_column, text_column), percent)
+
+
+def more_stars(groups: DataFrame, roots: DataFrame, docs: DataFrame, classes: DataFrame, width: int,
+               percent: int, id_column: str, text_column: str) -> list[DataFrame]:
+    """Links between components within large groups, a written table a round.
+
+    A round draws ``PIVOTS`` components of each group that still has several,
+    and one member of each; all other components' members meet these. Rounds
+    end when one finds no link. Components that it joined become one.
+    """
+    large = groups.groupBy("sig").agg(F.count("*").alias("m")).where(F.col("m") >= LARGE).select("sig")
+    labelled = materialise(groups.select("sig", "sid").distinct().join(large, "sig").join(
+        roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select(
+        "sig", "sid", F.coalesce("root", "sid").alias("root")), "members")
+
+    def several(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
+            .where("lo <> hi").select("sig")
+
+    members = materialise(labelled.join(several(labelled), "sig"), "members")
+    if members.isEmpty():
+        return []
+    held = features_of(members.select("sid").distinct(), docs, classes, width, id_column, text_column)
+    found, turn = [], 0
+    while True:
+        drawn = [F.min(F.struct(F.xxhash64("root", F.lit(n)).alias("r"), F.xxhash64("sid", F.lit(n)).alias("s"),
+                                "root", "sid")).alias(f"p{n}") for n in range(turn * PIVOTS, (turn + 1) * PIVOTS)]
+        pivots = members.groupBy("sig").agg(*drawn)
+        pivots = pivots.select("sig", F.explode(F.array_distinct(F.array(*[
+            F.struct(f"p{n}.root", f"p{n}.sid") for n in range(turn * PIVOTS, (turn + 1) * PIVOTS)]))).alias("pivot"))
+        pairs = members.join(pivots, "sig").where("root <> pivot.root").select(
+            F.least("sid", "pivot.sid").alias("a"), F.greatest("sid", "pivot.sid").alias("b")).distinct()
+        new = linking(passing(pairs, classes, percent), held, percent)
+        if new.isEmpty():
+            return found
+        found.append(new)
+        known = members.select("sid", "root").distinct()
+        joined = new.join(known.withColumnsRenamed({"sid": "a", "root": "x"}), "a").join(
+            known.withColumnsRenamed({"sid": "b", "root": "y"}), "b").select("x", "y")
+        merged = components(joined).select(F.col("root").alias("top"), F.col("node").alias("root"))
+        members = members.join(merged, "root", "left").select("sig", "sid", F.coalesce("top", "root").alias("root"))
+        members = materialise(members, "members")
+        members = materialise(members.join(several(members), "sig"), "members")
+        turn += 1
+
+
 def rest_pairs(groups: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a signature and pass size and sketch."""
     labelled = materialise(groups.select("sig", "sid").join(
@@ -447,28 +515,36 @@ def rest_pairs(groups: DataFrame, roots: DataFrame, classes: DataFrame, percent:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, sid and component_id of every row.
+    """doc_id, n_shingles, sid, component_id, row_id and root of every row.
 
-    ``component_id`` is the smallest id that links lead to, the row's own included.
+    ``component_id`` is the smallest id that links lead to, the row's own
+    included. ``row_id`` is a hash of id and text, ``root`` names the component
+    where ids cannot, as they may be missing or repeated.
     """
     of_rows = sets(docs, width, percent, id_column, text_column)
     classes = materialise(of_rows.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("least"), F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"),
-    ).withColumn("row_id", F.coalesce("least", F.lit(-(1 << 63)))), "classes")
+        F.min("doc_id").alias("least"), F.min("row_id").alias("row_id"), F.any_value("n").alias("n"),
+        F.any_value("sketch").alias("sketch")), "classes")
     groups = signature_groups(docs, width, percent, id_column, text_column)
     star = groups.where("sid <> other").select(
         F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
     links = verified(passing(star, classes, percent), docs, classes, width, percent, id_column, text_column)
-    rest = rest_pairs(groups, components(links), classes, percent)
+    roots = components(links)
+    stars = more_stars(groups, roots, docs, classes, width, percent, id_column, text_column)
+    if stars:
+        links = reduce(DataFrame.unionByName, stars, links)
+        roots = components(links)
+    rest = rest_pairs(groups, roots, classes, percent)
     more = verified(rest, docs, classes, width, percent, id_column, text_column)
     roots = components(links.unionByName(more))
     ids = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "least", F.coalesce("root", "sid").alias("root"))
     labels = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = materialise(ids.join(labels, "root").select("sid", "component_id"), "labels")
+    by_set = materialise(ids.join(labels, "root").select("sid", "root", "component_id"), "labels")
     return of_rows.join(by_set, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "sid",
-        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "row_id", "root")
 
 
 @query("op7_jaccard_join")
@@ -476,4 +552,4 @@ def op7(spark, sf_dir):
     """Component of every document under links of at least 0.9 over three-word shingles."""
     ready(spark)
     docs = table(spark, sf_dir, "documents")
-    return near_duplicates(docs, 3, 90).drop("sid")
+    return near_duplicates(docs, 3, 90).drop("sid", "row_id", "root")
