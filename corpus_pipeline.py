@@ -37,18 +37,25 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest id stays.
+    """Of each component of linked documents one stays: the smallest id, null ids last.
 
-    A document without words is a component of its own. Rows are dropped by id:
-    where rows of one id have several texts, all of them stay if one does, so
-    that no component is lost. Rows without an id stay.
+    Rows of one id with several texts are told apart by their texts; of rows
+    that repeat both, one stays too. A document without words is a component
+    of its own.
     """
     ready(spark)
-    found = jaccard.near_duplicates(docs, 5, 80)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    dropped = materialise(found.groupBy("doc_id").agg(F.bool_or(stays).alias("stays"))
-                          .where(~F.col("stays")).select("doc_id"), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    found = materialise(jaccard.near_duplicates(docs, 5, 80).where("sid IS NOT NULL").select(
+        "root", "row_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id").alias("place")), "found")
+    first = found.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    stays = first.where("n > 1").select("root", F.col("first.row_id").alias("stays"))
+    linked = found.join(stays, "root").groupBy("row_id").agg(
+        F.bool_or(F.col("row_id") == F.col("stays")).alias("stays"), F.count("*").alias("rows"))
+    linked = materialise(linked.where("NOT stays OR rows > 1"), "linked")
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                        F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row_id"))
+    alone = named.join(linked, "row_id", "left_anti")
+    again = named.join(linked.where("stays").select("row_id"), "row_id").dropDuplicates(["row_id"])
+    return alone.unionByName(again).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
