@@ -27,7 +27,7 @@ From signatures to links:
    on sets worked out anew from whole texts.
 4. More stars: while a large group is left in several components, its members
    are paired with a few more of them, from components drawn anew each round,
-   until a round finds no link. A round has rows by the members, not by their
+   until a round finds few links. A round has rows by the members, not by their
    pairs, and the components that it joins need no further comparison.
 5. Rest: in groups that the links found so far leave in several components,
    members of different components are compared, in blocks of bounded size,
@@ -65,6 +65,8 @@ PIECES, SPARE = 1, 0
 LOOK, FREQUENT, BLOCK = 1 << 18, 24, 1024
 #: Members from which on a group is large, and how many of them each other one meets in a round.
 LARGE, PIVOTS = 32, 8
+#: Links of a round for each of its members, up to which no further round is made.
+FEW_LINKS = 0.1
 WORDS_KEPT = 1 << 16
 
 U64 = np.uint64
@@ -441,9 +443,11 @@ def more_stars(groups: DataFrame, roots: DataFrame, docs: DataFrame, classes: Da
         pairs = members.join(pivots, "sig").where("root <> pivot.root").select(
             F.least("sid", "pivot.sid").alias("a"), F.greatest("sid", "pivot.sid").alias("b")).distinct()
         new = linking(passing(pairs, classes, percent), held, percent)
-        if new.isEmpty():
+        links = new.count()
+        if links:
+            found.append(new)
+        if links <= FEW_LINKS * members.select("sid").distinct().count():
             return found
-        found.append(new)
         known = members.select("sid", "root").distinct()
         joined = new.join(known.withColumnsRenamed({"sid": "a", "root": "x"}), "a").join(
             known.withColumnsRenamed({"sid": "b", "root": "y"}), "b").select("x", "y")
