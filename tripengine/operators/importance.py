@@ -30,11 +30,11 @@ def _scores(spark: SparkSession, names: Sequence[str], values, column: str) -> D
 
 def forest_importance(
     df: DataFrame, names: Sequence[str], label: str, features: str = "features",
-    trees: int = 50, column: str = "rf_importance",
+    trees: int = 50, column: str = "rf_importance", **params,
 ):
     """Random-forest importances, and the fitted model."""
     model = RandomForestRegressor(
-        featuresCol=features, labelCol=label, numTrees=trees, seed=SEED
+        featuresCol=features, labelCol=label, numTrees=trees, seed=SEED, **params
     ).fit(df)
     scores = model.featureImportances.toArray()
     return _scores(df.sparkSession, names, scores, column), model

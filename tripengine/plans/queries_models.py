@@ -647,6 +647,58 @@ def _two_inputs(spark, sf):
     return df, forest
 
 
+# the root takes the spread between its two sides, the other input what is left between the pairs
+_TWO_GAINS = f"""
+WITH {_TWO_INPUTS},
+gains AS (
+  SELECT sum(n * (m - f0) ** 2) AS pairs, sum(n * (mean_a - f0) ** 2) AS of_a, sum(n * (mean_b - f0) ** 2) AS of_b,
+         any_value(a_first) AS a_first
+  FROM rooted)
+SELECT 'a' AS feature, round(CASE WHEN a_first THEN of_a ELSE pairs - of_b END / pairs, 4) AS {{0}} FROM gains
+UNION ALL
+SELECT 'b', round(CASE WHEN a_first THEN pairs - of_a ELSE of_b END / pairs, 4) FROM gains"""
+
+
+@query("imp_01_forest_of_two_inputs", with_tables(_TWO_GAINS.format("rf_importance"), "trips"))
+def imp_01_two(spark, sf):
+    df, _ = _two_inputs(spark, sf)
+    return _rounded(importance.forest_importance(
+        df, ["a", "b"], LABEL, bootstrap=False, featureSubsetStrategy="all")[0], "rf_importance")
+
+
+@query("imp_02_boosting_of_two_inputs", with_tables(_TWO_GAINS.format("gbt_importance"), "trips"))
+def imp_02_two(spark, sf):
+    df, _ = _two_inputs(spark, sf)
+    return _rounded(importance.boosting_importance(df, ["a", "b"], LABEL), "gbt_importance")
+
+
+@query("imp_03_lasso_of_two_inputs", with_tables("""
+WITH seen AS (
+  SELECT corr(fare_amount, total_amount) AS c1, corr(tolls_amount, total_amount) AS c2,
+         corr(fare_amount, tolls_amount) AS r, stddev_pop(fare_amount) AS s1, stddev_pop(tolls_amount) AS s2,
+         2000 / stddev_pop(total_amount) AS l
+  FROM trips),
+signed AS (SELECT *, sign(c1 - r * c2) AS g1, sign(c2 - r * c1) AS g2 FROM seen),
+active AS (
+  SELECT (c1 - l * g1 - r * (c2 - l * g2)) / (1 - r * r) AS w1, (c2 - l * g2 - r * (c1 - l * g1)) / (1 - r * r) AS w2,
+         c1, c2, r, l, s1, s2, g1, g2
+  FROM signed),
+solved AS (  -- where one of both loses its sign, it is out and the other alone is thresholded
+  SELECT CASE WHEN w1 * g1 > 0 AND w2 * g2 > 0 THEN abs(w1) WHEN abs(c1) >= abs(c2) THEN greatest(abs(c1) - l, 0) ELSE 0
+         END / s1 AS a,
+         CASE WHEN w1 * g1 > 0 AND w2 * g2 > 0 THEN abs(w2) WHEN abs(c2) > abs(c1) THEN greatest(abs(c2) - l, 0) ELSE 0
+         END / s2 AS b
+  FROM active)
+SELECT 'fare_amount' AS feature, round(a / (a + b), 3) AS lasso_importance FROM solved
+UNION ALL
+SELECT 'tolls_amount', round(b / (a + b), 3) FROM solved""", "trips"))
+def imp_03_two(spark, sf):
+    names = ["fare_amount", "tolls_amount"]
+    df = encode.assemble(names, label=LABEL).transform(stored_trips(spark, sf, *names, LABEL))
+    return importance.lasso_importance(df, names, LABEL, strength=2000.0).withColumn(
+        "lasso_importance", F.round("lasso_importance", 3))
+
+
 @query("imp_05_attribution_of_two_inputs", with_tables(f"""
 WITH {_TWO_INPUTS}
 SELECT a, b, CAST(n AS BIGINT) AS n, round(contribution_a, 2) AS contribution_a,
