@@ -209,12 +209,12 @@ def mdl_02(spark, sf):
 
 @query("mdl_03_random_forest", _GROUP_MEAN)
 def mdl_03(spark, sf):
-    return _fitted_on_code(spark, sf, "random_forest", numTrees=5, bootstrap=False)
+    return _fitted_on_code(spark, sf, "random_forest", bootstrap=False)
 
 
 @query("mdl_04_gradient_boosting", _GROUP_MEAN)
 def mdl_04(spark, sf):
-    return _fitted_on_code(spark, sf, "gradient_boosting", maxIter=3)
+    return _fitted_on_code(spark, sf, "gradient_boosting")
 
 
 @query("mdl_05_kmeans_on_coordinates")
