@@ -416,9 +416,12 @@ def more_stars(groups: DataFrame, roots: DataFrame, docs: DataFrame, classes: Da
                percent: int, id_column: str, text_column: str) -> list[DataFrame]:
     """Links between components within large groups, a written table a round.
 
-    A round draws ``PIVOTS`` components of each group that still has several,
-    and one member of each; all other components' members meet these. Rounds
-    end when one finds no link. Components that it joined become one.
+    In a round each set takes part in one of its groups, the one whose hash is
+    least, so that sets with groups in common meet. ``PIVOTS`` components are
+    drawn for each such group, and one member of each; all other components'
+    members meet these. So a round has rows by the sets, however many groups a
+    set is in. Rounds end when one finds few links. Components that it joined
+    become one.
     """
     large = groups.groupBy("sig").agg(F.count("*").alias("m")).where(F.col("m") >= LARGE).select("sig")
     labelled = materialise(groups.select("sig", "sid").distinct().join(large, "sig").join(
@@ -435,12 +438,16 @@ def more_stars(groups: DataFrame, roots: DataFrame, docs: DataFrame, classes: Da
     held = features_of(members.select("sid").distinct(), docs, classes, width, id_column, text_column)
     found, turn = [], 0
     while True:
+        taking = members.groupBy("sid").agg(
+            F.min(F.struct(F.xxhash64("sig", F.lit(turn)).alias("h"), "sig", "root")).alias("one")).select(
+            "sid", "one.sig", "one.root")
+        turns = range(turn * PIVOTS, (turn + 1) * PIVOTS)
         drawn = [F.min(F.struct(F.xxhash64("root", F.lit(n)).alias("r"), F.xxhash64("sid", F.lit(n)).alias("s"),
-                                "root", "sid")).alias(f"p{n}") for n in range(turn * PIVOTS, (turn + 1) * PIVOTS)]
-        pivots = members.groupBy("sig").agg(*drawn)
-        pivots = pivots.select("sig", F.explode(F.array_distinct(F.array(*[
-            F.struct(f"p{n}.root", f"p{n}.sid") for n in range(turn * PIVOTS, (turn + 1) * PIVOTS)]))).alias("pivot"))
-        pairs = members.join(pivots, "sig").where("root <> pivot.root").select(
+                                "root", "sid")).alias(f"p{n}") for n in turns]
+        pivots = members.join(taking.select("sig").distinct(), "sig").groupBy("sig").agg(*drawn).select(
+            "sig", F.array_distinct(F.array(*[F.struct(f"p{n}.root", f"p{n}.sid") for n in turns])).alias("pivots"))
+        pairs = taking.join(pivots, "sig").select("sid", F.explode(
+            F.filter("pivots", lambda p: p.root != F.col("root"))).alias("pivot")).select(
             F.least("sid", "pivot.sid").alias("a"), F.greatest("sid", "pivot.sid").alias("b")).distinct()
         new = linking(passing(pairs, classes, percent), held, percent)
         links = new.count()
