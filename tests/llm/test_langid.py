@@ -75,3 +75,19 @@ def test_held_out_accuracy(session):
     truth = {r.doc_id: r.lang for r in session.read.parquet(f"{folder}/documents.parquet").collect()}
     found = [r for r in QUERIES["op6_language_id"].run(session, folder).collect() if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in found) >= 0.99 * len(found) > 100
+
+
+def test_no_language_is_lost_to_the_sample(docs_of):
+    """Long texts only, or none that the hash would draw: the shortest text stands for the language."""
+    rows = [(i, f"these are the words of a plain text number {i} and some more of them " * 3, "en") for i in range(20)]
+    rows += [(100 + i, f"to jest bardzo długi tekst po polsku numer {i} " * 2500, "pl") for i in range(3)]
+    trees = langid.fit(docs_of(rows))
+    assert trees.languages == ["en", "pl"]
+    assert trees.predict(["to jest tekst po polsku"])[0][0] == "pl"
+    assert langid.fit(docs_of(rows), sample_bytes=2).languages == ["en", "pl"]
+
+
+def test_without_labels_texts_with_letters_stay(docs_of):
+    docs = docs_of([(1, "words here"), (2, "12 34"), (3, None), (4, ""), (5, "слово")])
+    kept = langid.known_language(docs, langid.fit(docs))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and kept.columns == docs.columns

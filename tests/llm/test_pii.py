@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -110,3 +111,38 @@ def test_thresholds_from_counts_and_even_shares():
         (0, 512, 1, 90), (0, 256, 1, 8), (0, 256, 0, 2), (0, -256, 1, 1), (0, -256, 0, 90), (1, 0, 0, 5), strict=True)))
     assert detector.least.tolist() == [1.0, *[np.inf] * 4]
     assert pii._shares({(0, 0): 1000, (0, 1): 10, (1, 0): 500}, 210) == {(0, 1): 1.0, (1, 0): 0.2, (0, 0): 0.1}
+
+
+def test_dense_long_texts_take_linear_time():
+    draw = random.Random(8)
+    line = 'mail bob{0}@site{0}.org, ip 10.0.{1}.7, call +1 (743) 555-{2} token="{3}" from joe (at) home.org; '
+    text = "".join(line.format(i, i % 250, 1000 + i % 9000, f"{draw.getrandbits(160):040x}") for i in range(20_000))
+    x = np.array([pii.features(k, text, a, b) for k, a, b in pii.candidates(text[:40_000])])
+    trees = pii.BoostedTrees(x, (x[:, 2] > 0).astype(float), trees=5)
+    detector = pii.Detector(trees)
+    detector.least[:] = -9
+    began = time.process_time()
+    (base, added), = detector.spans([text])
+    covering = pii.Covering(base)
+    marked = [covering.of(a, b) for _, a, b in pii.candidates(text)]
+    assert time.process_time() - began < 60  # 2.3 million characters
+    assert len(base) >= 60_000 and len(added) >= 20_000 and sum(marked) > 0
+    taken = sorted((a, b) for _, a, b in base + added)
+    assert all(b <= c for (_, b), (c, _) in zip(taken, taken[1:]))
+
+
+def test_covered_stretches_against_all_spans():
+    draw = random.Random(6)
+    for _ in range(300):
+        base = []
+        for kind in pii.KINDS:
+            at = 0
+            for _ in range(draw.randrange(6)):
+                at += draw.randrange(8)
+                base.append((kind, at, at := at + draw.randrange(1, 9)))
+        covering = pii.Covering(base)
+        for _ in range(30):
+            a = draw.randrange(60)
+            e = a + draw.randrange(1, 20)
+            want = any(max(a, c) < min(e, d) and min(e, d) - max(a, c) >= 0.8 * (e - a) for _, c, d in base)
+            assert covering.of(a, e) == want

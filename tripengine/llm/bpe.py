@@ -36,6 +36,8 @@ WORD_BPE = "word_bpe_49k.json"
 EMPTY = (1 << 62)
 #: Words of one generation that a task remembers; the longest word for shared trees.
 REMEMBERED, LONGEST = 1 << 17, 64
+#: Characters of remembered words of a generation.
+REMEMBERED_CHARS = 1 << 24
 #: Python's blanks that are none in Unicode's sense.
 ODD_BLANKS = re.compile("[\x1c-\x1f]")
 #: Unicode's White_Space, for a class of characters.
@@ -209,13 +211,15 @@ class Remembered:
 
     def __init__(self, work: Callable[[list[str]], list], known: dict | None = None):
         self.work, self.known, self.results, self.old = work, known or {}, dict(known or {}), {}
+        self.chars = 0
 
     def of(self, words: list[str]) -> Callable[[str], object]:
         """A lookup that has a result for each of ``words``."""
-        if len(self.results) - len(self.known) > REMEMBERED:
-            self.old, self.results = self.results, dict(self.known)
+        if len(self.results) - len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.old, self.results, self.chars = self.results, dict(self.known), 0
         new = []
         for word in set(words).difference(self.results):
+            self.chars += len(word)
             if (known := self.old.get(word)) is None:
                 new.append(word)
             else:

@@ -13,12 +13,12 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripengine.session import materialise, prepare, scratch  # noqa: F401
+from tripengine.session import add_input, begin_sizing, materialise, prepare, scratch  # noqa: F401
 
 #: ASCII white space, the only separator of words.
 BLANKS = r"[\x20\x09-\x0D]+"
-#: Texts run to 100 KB and more, so that a batch for Python holds few rows.
-BATCH_ROWS = "500"
+#: Texts run to 100 KB and more, so that a batch for Python holds few rows, and few bytes where they are longer.
+BATCH_ROWS, BATCH_BYTES = "500", "64m"
 
 
 class Query(NamedTuple):
@@ -34,7 +34,7 @@ def query(name: str, oracle: str | None = None):
     def register(f):
         @wraps(f)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ready(spark)
+            begin(spark, sf_dir)
             return f(spark, sf_dir)
 
         QUERIES[name] = Query(run, oracle)
@@ -46,11 +46,23 @@ def ready(spark: SparkSession) -> SparkSession:
     """The library's settings, and batches that hold long texts in bounded memory."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
+def begin(spark: SparkSession, sf_dir: str, *tables: str) -> None:
+    """A new query or stage: its settings, and shuffles that start with partitions for ``tables``.
+
+    What an earlier one counted is forgotten; tables read later are added.
+    """
+    begin_sizing(ready(spark))
+    add_input(spark, *(f"{sf_dir}/{name}.parquet" for name in tables))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    add_input(spark, path)
+    return spark.read.parquet(path)
 
 
 def whole(column: str) -> Column:

@@ -186,16 +186,24 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
                            F.col(f"`{text_column}`").cast("string").alias("text"),
                            F.col(f"`{lang_column}`").cast("string").alias("lang")) \
         .where("lang IS NOT NULL AND text IS NOT NULL") \
-        .where(F.octet_length("text") <= LONGEST_SAMPLE)
-    sizes = {r.lang: r.b for r in rows.groupBy("lang").agg(
-        F.sum(F.octet_length("text")).alias("b")).collect()}
+        .withColumns({"bytes": F.octet_length("text"), "draw": F.pmod(F.xxhash64("id"), F.lit(1 << 20)),
+                      "own": F.xxhash64("id", "text")})
+    short = F.col("bytes") <= LONGEST_SAMPLE
+    about = rows.groupBy("lang").agg(
+        F.coalesce(F.sum(F.when(short, F.col("bytes"))), F.lit(0)).alias("b"),
+        F.min(F.when(short, F.col("draw"))).alias("least"),
+        F.min(F.struct("bytes", "own")).alias("shortest")).collect()
+    sizes = {r.lang: r.b for r in about}
     languages = sorted(sizes)
     each = sample_bytes / max(1, len(languages))
     share = F.create_map(*(F.lit(x) for lang in languages
                            for x in (lang, min(1.0, each / max(1, sizes[lang]))))) if languages else None
     if share is None:
         return ContextTrees([], [{} for _ in range(ORDER + 1)])
-    drawn = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    # a language of which nothing would be drawn is known by its shortest text
+    lost = [r.shortest.own for r in about
+            if r.least is None or r.least >= min(1.0, each / max(1, sizes[r.lang])) * (1 << 20)]
+    drawn = rows.where((short & (F.col("draw") < share[F.col("lang")] * (1 << 20))) | F.col("own").isin(lost))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[str, list[bytes]] = {}
@@ -247,7 +255,9 @@ def predict(docs: DataFrame, trees: ContextTrees, id_column: str = "doc_id", tex
 
 
 def known_language(docs: DataFrame, trees: ContextTrees, text_column: str = "text") -> DataFrame:
-    """The rows whose text has a language; all columns as they are."""
+    """The rows whose text has a language, any with a letter if no language was learned; all columns stay."""
+    if not trees.languages:
+        return docs.where(F.col(f"`{text_column}`").cast("string").rlike(r"\p{L}"))
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     name = fresh_name("lang_pred", docs.columns)
 

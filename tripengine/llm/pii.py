@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,6 +43,8 @@ KINDS = ("email", "ip", "card", "phone")
 MORE = ("number", "mail", "token", "value", "account")
 SAMPLE_CANDIDATES, PRECISION, STEPS = 40_000, 0.95, 256
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
+#: Candidates scored together.
+SCORED = 1 << 14
 
 # Base patterns. A run of digits or local characters is entered at its start only and
 # never given back: a later start in the same run would meet the same end.
@@ -245,14 +248,19 @@ class Detector:
         proposed = [(i, *c) for i, t in enumerate(texts) for c in candidates(t)] if self.trees else []
         added: list[list[Span]] = [[] for _ in texts]
         if proposed:
-            x = np.array([features(k, texts[i], a, b) for i, k, a, b in proposed])
-            score = self.trees.score(x)
-            chosen = np.flatnonzero(score >= self.least[x[:, :len(MORE)].argmax(1)])
-            taken = [[(a, b) for _, a, b in spans] for spans in base]
+            score = np.concatenate([self.trees.score(np.array(
+                [features(k, texts[i], a, b) for i, k, a, b in proposed[at:at + SCORED]]))
+                for at in range(0, len(proposed), SCORED)])
+            chosen = np.flatnonzero(score >= self.least[[MORE.index(c[1]) for c in proposed]])
+            taken: dict[int, bytearray] = {}  # a mark for each character that a span covers
             for j in chosen[np.lexsort((chosen, -score[chosen]))].tolist():
                 i, kind, a, b = proposed[j]
-                if all(b <= c or a >= d for c, d in taken[i]):
-                    taken[i].append((a, b))
+                if i not in taken:
+                    taken[i] = bytearray(len(texts[i]))
+                    for _, c, d in base[i]:
+                        taken[i][c:d] = b"\1" * (d - c)
+                if taken[i].find(1, a, b) < 0:
+                    taken[i][a:b] = b"\1" * (b - a)
                     added[i].append((kind, a, b))
         return list(zip(base, added, strict=True))
 
@@ -262,14 +270,31 @@ def _given(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                        F.col(f"`{text_column}`").cast("string").alias("text"))
 
 
+class Covering:
+    """Which stretches of a text are mostly covered by one of its base spans."""
+
+    def __init__(self, base: list[Span]):
+        # spans of one kind do not overlap, so those that touch a stretch follow one another
+        own = [[(a, b) for k, a, b in base if k == kind] for kind in KINDS]
+        self.spans = [(spans, [a for a, _ in spans]) for spans in own if spans]
+
+    def of(self, a: int, e: int) -> bool:
+        for spans, starts in self.spans:
+            at = max(bisect_right(starts, a) - 1, 0)
+            while at < len(spans) and spans[at][0] < e:
+                both = min(e, spans[at][1]) - max(a, spans[at][0])
+                if both > 0 and both >= 0.8 * (e - a):
+                    return True
+                at += 1
+        return False
+
+
 def _labelled(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, str, int, int]]:
     """Candidates with their text, label and a hash of 64 bits."""
     for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-        base = base_spans(text)
+        covering = Covering(base_spans(text))
         for kind, a, e in candidates(text):
-            certain = any(max(a, c) < min(e, d) and min(e, d) - max(a, c) >= 0.8 * (e - a)
-                          for _, c, d in base)
-            good = certain or passes(kind, text[a:e], text[max(0, a - 24):a])
+            good = covering.of(a, e) or passes(kind, text[a:e], text[max(0, a - 24):a])
             own = f"{doc_id}:{kind}:{a}:{text[a:e]}".encode("utf-8", "surrogatepass")
             yield kind, a, e, text, int(good), int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "big")
 
