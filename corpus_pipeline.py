@@ -19,20 +19,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripengine.llm import bpe, decontaminate, exact, jaccard, langid
-from tripengine.llm.common import materialise, query, ready, scratch, table
+from tripengine.llm.common import begin, materialise, query, scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language, as told by trees fitted on labelled ones."""
-    ready(spark)
+    begin(spark, sf_dir, "documents")
     return langid.known_language(docs, langid.fit(langid.training_rows(docs)))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id stays."""
-    ready(spark)
+    begin(spark, sf_dir, "documents")
     return exact.deduplicate(docs)
 
 
@@ -43,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     that repeat both, one stays too. A document without words is a component
     of its own.
     """
-    ready(spark)
+    begin(spark, sf_dir, "documents")
     found = materialise(jaccard.near_duplicates(docs, 5, 80).where("sid IS NOT NULL").select(
         "root", "row_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id").alias("place")), "found")
     first = found.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n"))
@@ -60,13 +60,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    ready(spark)
+    begin(spark, sf_dir, "documents")
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and the decoded text's digest of every document."""
-    ready(spark)
+    begin(spark, sf_dir, "documents")
     return bpe.round_trip(docs, public_tokenizers.path(bpe.WORD_BPE))
 
 
