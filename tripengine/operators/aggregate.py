@@ -104,15 +104,12 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
         .groupBy(*by, F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .count()
     )
-    # a zero for every bin of every group; at most ``bins`` rows a group
-    zeros = counted.select(*by).distinct() if by else counted.limit(1).select()
-    zeros = zeros.select(
-        *by, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("bigint").alias("count")
-    )
+    # every bin of a group is looked up in the counts of that group, at most ``bins`` of them
+    held = counted.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("held"))
     return (
-        counted.unionByName(zeros)
-        .groupBy(*by, "bin")
-        .agg(F.sum("count").alias("count"))
+        held.filter(F.size("held") > 0)
+        .select(*by, "held", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        .select(*by, "bin", F.coalesce(F.col("held")[F.col("bin")], F.lit(0)).alias("count"))
         .withColumns({
             "bin_start": low + F.col("bin") * width,
             "bin_end": low + (F.col("bin") + 1) * width,

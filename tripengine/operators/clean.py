@@ -61,3 +61,10 @@ def hash_split(
     """
     bucket = hash_bucket(*keys, salt=salt)
     return df.filter(bucket < percent), df.filter(bucket >= percent)
+
+
+def fresh_name(name: str, taken: Sequence[str]) -> str:
+    """A column name none of ``taken`` clashes with, in any case."""
+    while name.lower() in (t.lower() for t in taken):
+        name += "_"
+    return name

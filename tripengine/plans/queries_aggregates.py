@@ -44,6 +44,7 @@ from tripengine.operators.profile import (
     null_counts,
     select_by_variance,
 )
+from tripengine.operators import summaries
 from tripengine.operators.quantiles import (
     box_numbers,
     cap_upper,
@@ -62,7 +63,7 @@ from tripengine.plans.queries_joins import (
 from tripengine.plans.queries_tables import BOUNDS_SQL, BUCKET_SQL
 from tripengine.plans.registry import query
 from tripengine.plans.tripview import with_tables
-from tripengine.session import materialise
+from tripengine.session import materialise, scratch
 
 
 def rounded(df, digits, *columns):
@@ -190,6 +191,47 @@ def agg_10(spark, sf):
     return rounded(found, 6, "skewness", "kurtosis")
 
 
+# stored summaries ---------------------------------------------------------
+
+_SUMMED = ("l_extendedprice", "l_quantity", "l_discount")
+_COUNTED = ("l_returnflag", "l_linestatus")
+
+
+def _monthly_summaries(spark, sf, numbers=(), codes=()):
+    """Summaries by month of shipping, stored in two arrivals; the folder."""
+    lines = tv.read(spark, sf, "lineitem").withColumn(
+        "month", F.coalesce(F.date_format("l_shipdate", "yyyyMM"), F.lit("none")))
+    folder = scratch(spark, "summaries")
+    early = F.col("month") < "199512"
+    for arrived in (early, ~early):
+        summaries.store_parts(lines.filter(arrived), folder, "month", numbers, codes)
+    return folder
+
+
+def _summary_sql(column):
+    return f"""
+SELECT '{column}' AS "column", count(*) AS rows, count({column}) AS values, round(avg({column}), 6) AS mean,
+       round(stddev_samp({column}), 6) AS stddev,
+       round(avg(pow({column} - mu, 3)) / pow(var_pop({column}), 1.5), 6) AS skewness,
+       round(avg(pow({column} - mu, 4)) / pow(var_pop({column}), 2) - 3, 6) AS kurtosis,
+       min({column}) AS min, max({column}) AS max
+FROM lineitem, (SELECT avg({column}) AS mu FROM lineitem)"""
+
+
+@query("agg_08_stored_summaries", "\nUNION ALL\n".join(map(_summary_sql, _SUMMED)))
+def agg_08_stored(spark, sf):
+    """All rows described from summaries of their months."""
+    found = summaries.merged_numbers(spark, _monthly_summaries(spark, sf, numbers=_SUMMED))
+    return rounded(found, 6, "mean", "stddev", "skewness", "kurtosis").drop("quantiles", "distinct")
+
+
+@query("agg_07_stored_value_counts", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS count FROM lineitem GROUP BY 2""" for c in _COUNTED))
+def agg_07_stored(spark, sf):
+    """Value counts of all rows from those of their months."""
+    return summaries.merged_codes(spark, _monthly_summaries(spark, sf, codes=_COUNTED))
+
+
 # quantiles ----------------------------------------------------------------
 
 

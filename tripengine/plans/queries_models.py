@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripengine import schemas
 from tripengine.functions.predicates import hash_bucket
-from tripengine.operators import encode, gram, importance, models, treetables
+from tripengine.operators import categories, encode, gram, importance, models, treetables
 from tripengine.operators.clean import hash_split
 from tripengine.plans import tripview as tv
 from tripengine.plans.cleaned import model_table
@@ -118,6 +118,45 @@ def enc_04(spark, sf):
     )
 
 
+@query("enc_01_codes_of_many", """
+WITH codes AS (
+  SELECT l_partkey AS k, row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS code
+  FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY 1)
+SELECT l_orderkey, l_linenumber, CAST(coalesce(code, (SELECT count(*) FROM codes)) AS DOUBLE) AS part_index
+FROM lineitem LEFT JOIN codes ON k = l_partkey""")
+def enc_01_many(spark, sf):
+    """Codes by frequency of a column with very many values, joined as a table."""
+    df = tv.read(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return categories.with_codes(df, categories.frequency_codes(df, "part"), "part").drop("part")
+
+
+_LINE_FOLDS = """
+dealt AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS y,
+         CAST('0x' || substr(md5('fold|' || l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) % 5 AS fold
+  FROM lineitem)"""
+
+
+@query("enc_04_out_of_fold_means", f"""
+WITH {_LINE_FOLDS},
+own AS (SELECT l_partkey AS k, fold AS f, sum(y) AS s, count(y) AS n FROM dealt GROUP BY ALL),
+every AS (SELECT k, sum(s) AS s, sum(n) AS n FROM own GROUP BY 1),
+prior AS (SELECT f, ((SELECT sum(s) FROM own) - sum(s)) / ((SELECT sum(n) FROM own) - sum(n)) AS m FROM own GROUP BY 1)
+SELECT l_orderkey, l_linenumber,
+       round((every.s - own.s + 2 * m) / (every.n - own.n + 2), 3) AS part_target
+FROM dealt JOIN own ON own.k IS NOT DISTINCT FROM l_partkey AND own.f = fold
+JOIN every ON every.k IS NOT DISTINCT FROM l_partkey JOIN prior ON prior.f = fold""")
+def enc_04_folds(spark, sf):
+    """Each line's mean price of its part over the lines of the other folds."""
+    keys = ["l_orderkey", "l_linenumber"]
+    df = tv.read(spark, sf, "lineitem").select(
+        *keys, F.col("l_partkey").alias("part"), "l_extendedprice",
+        hash_bucket(*keys, buckets=5, salt="fold").alias("fold"))
+    found = categories.out_of_fold_means(df, "part", "l_extendedprice", "fold", smoothing=2)
+    return found.select(*keys, F.round("part_target", 3).alias("part_target"))
+
+
 _COLUMNS_SQL = {"fare_amount": "l_extendedprice", "passenger_count": "l_quantity",
                 "improvement_surcharge": "l_tax"}
 
