@@ -11,7 +11,7 @@ from tests.conftest import rows
 from tripengine import schemas
 from tripengine.operators import encode, importance, models
 from tripengine.operators.clean import hash_split
-from tripengine.streaming.scoring import score_arriving
+from tripengine.streaming.scoring import error_windows, score_arriving
 
 CATEGORICAL, NUMERIC = ["zone", "bin"], ["minutes", "people"]
 
@@ -148,6 +148,28 @@ def test_arriving_files_are_scored_once(spark, parts, tmp_path):
     assert run().count() == len(want) + 5
 
 
+def test_errors_by_window_count_trips_once(spark, parts, tmp_path):
+    train, _ = parts
+    model = models.regression_pipeline("linear_reg", "one_hot", CATEGORICAL, NUMERIC, "fare").fit(train)
+    timed = train.withColumn("at", F.timestamp_seconds(F.lit(86_400 * 100) + F.col("id") * 3600))
+    last = timed.agg(F.max("at")).first()[0]
+    half = timed.agg(F.timestamp_seconds(F.median(F.unix_seconds("at")).cast("long"))).first()[0]
+    early, rest = timed.filter(F.col("at") <= half), timed.filter(F.col("at") > half)
+    again = early.filter(F.col("at") > F.lit(half) - F.expr("INTERVAL 20 HOURS"))
+    ancient = timed.limit(1).withColumns({"id": F.lit(-1), "at": F.timestamp_seconds(F.lit(0))})
+    unknown = timed.limit(1).withColumns({"id": F.lit(-2), "at": F.lit(None).cast("timestamp")})
+    folders = [str(tmp_path / n) for n in ("in", "out", "progress")]
+    for arrived in (early.unionByName(unknown), rest.unionByName(again).unionByName(ancient)):
+        arrived.write.mode("append").parquet(folders[0])
+        error_windows(spark, model, folders[0], timed.schema, folders[1], folders[2], ["id"], "fare",
+                      event_time="at", width="6 hours", delay="1 day").awaitTermination()
+    got = rows(spark.read.parquet(folders[1]).select("window_start", "trips", F.round("error_sum", 6)))
+    scored = model.transform(timed).groupBy(F.window("at", "6 hours").alias("w")).agg(
+        F.count("*").alias("n"), F.round(F.sum(F.col("fare") - F.col("prediction")), 6).alias("e"))
+    closed = scored.filter(F.col("w.end") <= F.lit(last) - F.expr("INTERVAL 1 DAY"))
+    assert got == rows(closed.select("w.start", "n", "e")) and len(got) > 10
+
+
 def test_importances_find_the_minutes(linear):
     pipeline, names = encode.importance_inputs(CATEGORICAL, NUMERIC, "fare")
     df = pipeline.fit(linear).transform(linear).select("features", "fare", *names).cache()
