@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripengine.llm.common import in_batches, query, table, with_column
+from tripengine.llm.common import in_batches, materialise, query, table, with_column
 
 KINDS = ("email", "ip", "card", "phone")
 #: What the generators propose, in the order in which spans are listed after the base kinds.
@@ -68,10 +68,9 @@ CUES = (("tel", "phone", "call", "fax", "mobile"), ("mail", "contact", "write"),
         ("token", "key", "secret", "passw", "pwd"), ("iban", "account", "ssn", "social"))
 
 Span = tuple[str, int, int]
-COUNT_ARROW = pa.schema([(n, pa.int64()) for n in ("kind", "y", "n")])
 SCORE_ARROW = pa.schema([(n, pa.int64()) for n in ("kind", "step", "y", "n")])
-SAMPLE_ARROW = pa.schema([("draw", pa.int64()), ("unseen", pa.bool_()), ("y", pa.float64()),
-                          ("x", pa.list_(pa.float64()))])
+CANDIDATE_ARROW = pa.schema([("kind", pa.int64()), ("y", pa.int64()), ("draw", pa.int64()), ("unseen", pa.bool_()),
+                             ("x", pa.list_(pa.float64()))])
 
 
 def luhn(digits: str) -> bool:
@@ -309,34 +308,34 @@ def _shares(counts: dict[tuple[int, int], int], most: int) -> dict[tuple[int, in
     return shares
 
 
-def _drawn(draw: int, share: float) -> bool:
-    return (draw >> 12) < share * (1 << 52)
+def labelled_candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """kind (its place in ``MORE``), y, draw, unseen and features x of all candidates; a written table."""
+    def found(batches):
+        def rows():
+            for b in batches:
+                for kind, a, e, text, y, draw in _labelled(b):
+                    yield MORE.index(kind), y, draw >> 1, bool(draw & 1), features(kind, text, a, e)
+        yield from in_batches(rows(), CANDIDATE_ARROW)
+
+    rows = _given(docs, id_column, text_column).where("text IS NOT NULL")
+    return materialise(rows.mapInArrow(found, "kind long, y long, draw long, unseen boolean, x array<double>"),
+                       "candidates")
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         sample_candidates: int = SAMPLE_CANDIDATES) -> Detector:
-    """The detector: trees from a bounded sample per kind and label, thresholds from all rows."""
-    rows = _given(docs, id_column, text_column).where("text IS NOT NULL")
-
-    def counted(batches):
-        held: Counter = Counter()
-        for b in batches:
-            held.update((MORE.index(kind), y) for kind, _, _, _, y, _ in _labelled(b))
-        yield from in_batches(((k, y, n) for (k, y), n in held.items()), COUNT_ARROW)
+    """The detector: trees from a bounded sample per kind and label, thresholds from all rows.
 
-    counts = {(r.kind, r.y): r.n for r in rows.mapInArrow(counted, "kind long, y long, n long")
-              .groupBy("kind", "y").agg(F.sum("n").alias("n")).collect()}
+    Texts are read once, for the table of candidates that everything else reads.
+    """
+    every = labelled_candidates(docs, id_column, text_column)
+    counts = {(r.kind, r.y): r["count"] for r in every.groupBy("kind", "y").count().collect()}
     shares = _shares(counts, sample_candidates)
-
-    def sampled(batches):
-        def found():
-            for b in batches:
-                for kind, a, e, text, y, draw in _labelled(b):
-                    if _drawn(draw, shares[MORE.index(kind), y]):
-                        yield draw >> 1, bool(draw & 1), float(y), features(kind, text, a, e)
-        yield from in_batches(found(), SAMPLE_ARROW)
-
-    kept = rows.mapInArrow(sampled, "draw long, unseen boolean, y double, x array<double>") \
+    share = F.lit(0.0)
+    for (kind, y), own in shares.items():
+        share = F.when((F.col("kind") == kind) & (F.col("y") == y), own).otherwise(share)
+    every = every.withColumn("drawn", F.shiftright("draw", 11) < share * F.lit(float(1 << 52)))
+    kept = every.where("drawn").select("draw", "unseen", F.col("y").cast("double").alias("y"), "x") \
         .toArrow()  # bounded by the shares; put in order here, as a sort by range would run the pass twice
     x = np.array(kept.column("x").to_pylist(), float).reshape(-1, WIDTH)
     y, half = kept.column("y").to_numpy(), ~kept.column("unseen").to_numpy().astype(bool)
@@ -349,25 +348,15 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 
     def scored(batches):
         held: Counter = Counter()
-
-        def add(block):
-            steps = np.floor(shared.value.score(np.array([v for _, _, v in block])) * STEPS)
-            held.update((k, int(s), y) for (k, y, _), s in zip(block, steps.tolist(), strict=True))
-
-        block = []
         for b in batches:
-            for kind, a, e, text, y, draw in _labelled(b):
-                k = MORE.index(kind)
-                if draw & 1 or not _drawn(draw, shares[k, y]):
-                    block.append((k, y, features(kind, text, a, e)))
-                if len(block) >= 1 << 14:
-                    add(block)
-                    block = []
-        if block:
-            add(block)
+            if len(b):
+                x = b.column("x").flatten().to_numpy().reshape(-1, WIDTH)
+                steps = np.floor(shared.value.score(x) * STEPS).astype(np.int64)
+                held.update(zip(b.column("kind").to_pylist(), steps.tolist(), b.column("y").to_pylist(), strict=True))
         yield from in_batches(((*key, n) for key, n in held.items()), SCORE_ARROW)
 
-    found = rows.mapInArrow(scored, "kind long, step long, y long, n long") \
+    found = every.where("unseen OR NOT drawn").select("kind", "y", "x") \
+        .mapInArrow(scored, "kind long, step long, y long, n long") \
         .groupBy("kind", "step", "y").agg(F.sum("n").alias("n")).toArrow()  # a row per score step at most
     kind, step, label, n = (found.column(c).to_numpy() for c in ("kind", "step", "y", "n"))
     scale = [1 / (1 - shares[k, v] / 2) for k, v in zip(kind.tolist(), label.tolist(), strict=True)]
