@@ -1,7 +1,7 @@
 """Stored summaries of a table's parts, from which the whole table is described.
 
-A part (a monthly file) is read once, when it arrives. Of its number columns
-are kept row and value counts, mean, second to fourth central moments, extremes, a
+A part (a monthly file) is read when it arrives, once for its number columns and once
+for its code columns, and not again. Of its number columns are kept row and value counts, mean, second to fourth central moments, extremes, a
 quantile sketch and a distinct-count sketch; of its code columns the exact counts
 of all values. Merging reads these few rows only: counts, moments and extremes come
 out as from one pass over all rows, quantiles and distinct counts within the error of
