@@ -58,6 +58,11 @@ def add_input(spark: SparkSession, *paths: str) -> int:
     return partitions
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The partitions shuffles of this query or job start with."""
+    return int(spark.conf.get(_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
