@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripengine import schemas
 from tripengine.operators.models import load_model
-from tripengine.plans import jobs
+from tripengine.plans import cleaned, jobs
 from tripengine.session import shared_folder
 from tripengine.sources.files import monthly_paths, result_table
 
@@ -109,6 +109,21 @@ def test_from_files_to_a_scored_row(spark, inputs, tmp_path):
     assert out[0].predicted_total == pytest.approx(12.5, abs=3)
 
 
+def test_rounding_before_copies_are_dropped_leaves_the_same_rows(spark, inputs):
+    """Source columns rounded first: the rows of the wide distinct, without a second one."""
+    raw = jobs.read_monthly(spark, inputs.trip_paths)
+    near = raw.withColumn("fare_amount", F.col("fare_amount") + 0.0004)  # equal once rounded
+    both = raw.unionByName(near)
+
+    def rounded(df):
+        return cleaned.round_half_even(df, {c: d for c, d in cleaned.DECIMALS.items() if c in df.columns})
+
+    early = rounded(cleaned.clean(both, 2023, cleaned.DECIMALS))
+    late = rounded(cleaned.clean(both, 2023)).dropDuplicates()
+    assert rows_of(early.select(late.columns)) == rows_of(late)
+    assert early.count() < cleaned.clean(both, 2023).count()
+
+
 def test_form_labels_become_training_codes(spark):
     form = spark.createDataFrame(
         [(1, "Card", 20, "Sunday", 8, 10, "Manhattan", "Brooklyn", "No", "Medium", "Night", "Yes"),
