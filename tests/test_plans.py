@@ -144,6 +144,14 @@ def test_a_literal_lookup_does_not_shuffle_the_trips(spark):
     assert "Aggregate" in above and "Aggregate" in below
 
 
+def test_the_stored_stage_of_the_features_has_what_they_read_and_no_more(spark):
+    from tripengine.plans.cleaned import FEATURE_SOURCES
+    from tripengine.plans.queries_columns import stored_features
+
+    stage = spark.read.parquet(stored_features(spark, SF).inputFiles()[0].rpartition("/")[0])
+    assert stage.columns == FEATURE_SOURCES
+
+
 def sources():
     """The library without the text operators, which have tests of their own."""
     found = sorted((ROOT / "tripengine").rglob("*.py"))
