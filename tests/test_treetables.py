@@ -80,6 +80,22 @@ def test_deep_trees_sum_up(rows):
     assert tt.attributions(model.transform(rows), model).agg(F.max(gap)).first()[0] < 1e-9
 
 
+def test_contributions_are_looked_up_in_few_small_tables(rows):
+    forest = tt.forest_of(fits("forest", rows, maxDepth=5))
+    of, paths = tt.Attribution(forest, 4), tt.leaf_paths(forest)
+    assert not of.long and len(of.tables) < len(paths) / 4
+    assert all(sums.shape[1] <= tt.TABLE_CELLS for _, sums in of.tables)
+    x = np.random.default_rng(4).uniform(-1, 8, (60, 4))
+    x[:4, 0] = x[0, :] = [-np.inf, np.inf, 0.0, 3.0]
+    tabled = of.of(x)
+    cells, tt.TABLE_CELLS = tt.TABLE_CELLS, 1  # every path by itself, row by row
+    try:
+        alone = tt.Attribution(forest, 4)
+    finally:
+        tt.TABLE_CELLS = cells
+    assert not alone.tables and np.allclose(tabled, alone.of(x))
+
+
 def test_mean_attributions_count_equal_rows(rows):
     model = fits("forest", rows, maxDepth=3)
     each = tt.attributions(rows, model)
