@@ -193,6 +193,28 @@ def test_importances_find_the_minutes(linear):
         np.mean([merged[0][c] for c in importance.RANKINGS]))
 
 
+def test_trees_without_a_draw_fit_each_vector_once(spark, linear):
+    """The same tree and boosting as on the rows, with nominal inputs kept as such."""
+    stages = [encode.indexer(CATEGORICAL), encode.assemble([f"{c}_index" for c in CATEGORICAL] + ["people"])]
+    df = Pipeline(stages=stages).fit(linear).transform(linear)
+    df = df.union(df).select("features", "fare")
+    cells = models.one_per_input(df, "features", "fare", "rows")
+    assert cells.count() < df.count() / 2 and cells.agg(F.sum("rows")).first()[0] == df.count()
+    assert cells.schema["features"].metadata == df.schema["features"].metadata != {}
+    for name in ("decision_tree", "gradient_boosting"):
+        own, plain = models.regressor(name, "features", "fare"), models.regressor(name, "features", "fare")
+        seen = plain.fit(df).setPredictionCol("p1").transform(df)
+        both = models.fit_rows(own, df).setPredictionCol("p2").transform(seen)
+        assert both.agg(F.max(F.abs(F.col("p1") - F.col("p2")))).first()[0] < 1e-6
+
+
+def test_rows_to_fit_lie_in_bounded_partitions(spark):
+    df = spark.range(1000).repartition(1)
+    held = models.spread(df, 100).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held <= 200 and models.spread(df, 1000) is df
+    assert models.spread(df, 100).distinct().count() == 1000
+
+
 def test_true_elimination_drops_step_by_step(linear):
     ranked = importance.ranked_elimination(linear, NUMERIC, "fare", trees=3, step=1)
     assert [r.feature for r in ranked.collect()][0] == "minutes"
