@@ -208,6 +208,16 @@ def test_trees_without_a_draw_fit_each_vector_once(spark, linear):
         assert both.agg(F.max(F.abs(F.col("p1") - F.col("p2")))).first()[0] < 1e-6
 
 
+def test_clusters_are_fitted_on_distinct_points(spark, monkeypatch):
+    df = spark.range(900).selectExpr("id", "CAST(id % 3 AS DOUBLE) * 10 AS x", "CAST(1 AS DOUBLE) AS y")
+    seen, spread = [], models.spread
+    monkeypatch.setattr(models, "spread", lambda df, *a: seen.append(df.collect()) or spread(df, *a))
+    found = models.cluster_points(df, ["x", "y"], k=3)
+    assert [r.rows for r in seen[0]] == [300.0] * 3
+    assert found.groupBy("prediction").agg(F.count_distinct("x").alias("n"), F.count("*").alias("c")).where(
+        "n = 1 AND c = 300").count() == 3
+
+
 def test_rows_to_fit_lie_in_bounded_partitions(spark):
     df = spark.range(1000).repartition(1)
     held = models.spread(df, 100).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
