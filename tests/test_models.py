@@ -239,6 +239,21 @@ def test_permutation_uses_the_whole_frame_in_small_buckets(linear):
     assert scores["minutes"] > 0.95
 
 
+@pytest.mark.parametrize("name", ["decision_tree", "random_forest", "gradient_boosting"])
+def test_swaps_looked_up_are_the_swaps_predicted(linear, monkeypatch, name):
+    pipeline, names = encode.importance_inputs(CATEGORICAL, NUMERIC, "fare")
+    df = pipeline.fit(linear).transform(linear)
+    model = models.regressor(name, "features", "fare").fit(df)
+
+    def scores():
+        got = importance.permutation_importance(df, model, names, rows_per_bucket=50).collect()
+        return [r.permutation_importance for r in got]
+
+    tabled = scores()
+    monkeypatch.setattr(importance, "is_forest", lambda model: False)
+    assert tabled == pytest.approx(scores()) and sum(v > 0 for v in tabled) > 1
+
+
 def test_chi_square_matches_the_formula(spark):
     counts = {("a", "x"): 20, ("a", "y"): 30, ("b", "x"): 30, ("b", "y"): 20}
     data = [k for k, n in counts.items() for _ in range(n)]
