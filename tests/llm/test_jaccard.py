@@ -152,6 +152,46 @@ def test_rest_rows_do_not_grow_with_pairs(docs_of, monkeypatch):
     assert seen[0].count() < 10 * len(rows)
 
 
+def test_pairs_of_a_large_group_that_pass_the_sketch_and_do_not_link_are_no_rows(docs_of, monkeypatch):
+    draw = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        own = list(base)
+        for at in draw.sample(range(200), 1 if i % 30 == 0 else 2):
+            own[at] = f"y{i}"
+        rows.append((i, " ".join(own)))
+    seen, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+    assert found(docs_of(rows), 3, 90) == brute(rows, 3, 90)
+    assert seen[-1] < 3 * len(rows)
+
+
+@pytest.mark.parametrize("facing", [False, True])
+def test_links_of_a_cell_span_its_components(facing):
+    scheme, draw = jaccard.Scheme(80), np.random.default_rng(8)
+    sets, base = [], draw.integers(0, 1 << 63, 60).astype(np.uint64)
+    for _ in range(70):
+        new = draw.integers(0, 1 << 63, draw.integers(1, 9)).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([draw.permutation(base)[len(new):], new])))
+    sid, root, own = np.arange(70) + 100, np.arange(70) // 2, np.arange(70) % 2
+    a, b = jaccard.spanning(scheme, sid, root, own, sets, facing)
+    assert all(scheme.link(sets[i - 100], sets[j - 100]) and (not facing or i % 2 != j % 2)
+               for i, j in zip(a, b, strict=True))
+
+    def parts(links):
+        of = root.copy()
+        for i, j in links:
+            of[of == of[j]] = of[i]
+        return len(set(of.tolist())), {tuple(np.flatnonzero(of == r)) for r in of}
+
+    every = [(i, j) for i in range(70) for j in range(i) if (not facing or own[i] != own[j])
+             and scheme.link(sets[i], sets[j])]
+    count, want = parts(every)
+    assert parts([(i - 100, j - 100) for i, j in zip(a, b, strict=True)])[1] == want
+    assert 1 < count and len(a) == 35 - count
+
+
 def test_missing_and_repeated_ids_find_their_texts(docs_of):
     texts = cloud(7, 30, 60, 2)
     rows = [(None, t) for t in texts[:15]] + [(7, t) for t in texts[15:]]

@@ -31,8 +31,11 @@ From signatures to links:
    pairs, and the components that it joins need no further comparison.
 5. Rest: in groups that the links found so far leave in several components,
    members of different components are compared, in blocks of bounded size,
-   first by sketch, then exactly. So every pair that shares a signature is
-   either compared, or known to be connected, or ruled out by a bound.
+   first by sketch, then exactly. Of a large group only the members whose
+   sketches leave a partner get their whole sets, are compared in their block
+   and give the links that join its components, so that pairs never become
+   rows. So every pair that shares a signature is either compared, or known to
+   be connected, or ruled out by a bound.
 
 Features are 64-bit hashes of n-grams, and classes 64-bit hashes of sets.
 
@@ -63,6 +66,8 @@ PIECES, SPARE = 1, 0
 #: Signatures a task looks at together, how many equal ones count as frequent there,
 #: and members of a block that are compared with each other.
 LOOK, FREQUENT, BLOCK = 1 << 18, 24, 1024
+#: Features that the sets of a block have together at most.
+BLOCK_FEATURES = 1 << 22
 #: Members from which on a group is large, and how many of them each other one meets in a round.
 LARGE, PIVOTS = 32, 8
 #: Links of a round for each of its members, up to which no further round is made.
@@ -74,6 +79,9 @@ SET_ARROW = pa.schema([("doc_id", pa.int64()), ("row_id", pa.int64()), ("sid", p
                        ("sketch", pa.binary())])
 SIGNATURE = "sig long, spread int, sid long, other long"
 SIGNATURE_ARROW = pa.schema([("sig", pa.int64()), ("spread", pa.int32()), ("sid", pa.int64()), ("other", pa.int64())])
+MARK = "sig long, x int, y int, sid long, root long, own int"
+MARK_ARROW = pa.schema([("sig", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("sid", pa.int64()),
+                        ("root", pa.int64()), ("own", pa.int32())])
 PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -465,63 +473,144 @@ def more_stars(groups: DataFrame, roots: DataFrame, docs: DataFrame, classes: Da
         turn += 1
 
 
-def rest_pairs(groups: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a signature and pass size and sketch."""
+def open_cells(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members, by cell, of the groups that are left in several components; ``m`` is the group's size. Written.
+
+    Members of a large group fall into blocks, and each pair of blocks is a cell of bounded size.
+    """
     labelled = materialise(groups.select("sig", "sid").join(
-        roots.select(F.col("node").alias("sid"), "root"), "sid", "left").select(
-        "sig", "sid", F.coalesce("root", "sid").alias("root")), "labelled")
-    open_ = labelled.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                        F.count("*").alias("m")).where("lo <> hi").select("sig", "m")
-    # members of a large group fall into blocks, and each pair of blocks is a cell of bounded size
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        roots.select(F.col("node").alias("sid"), "root"), "sid", "left").join(classes.select("sid", "n"), "sid").select(
+        "sig", "sid", "n", F.coalesce("root", "sid").alias("root")), "labelled")
+    open_ = labelled.groupBy("sig").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"),
+        F.max("n").alias("most")).where("lo <> hi").select("sig", "m", "most")
+    # sizes within a group are alike, so its largest set bounds a block's features
+    blocks = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("m") * F.col("most") / BLOCK_FEATURES)).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    cells = labelled.join(open_, "sig").withColumn("blocks", blocks).withColumn("own", own) \
-        .withColumn("facing", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("sig", "sid", "root", "own", F.least("own", "facing").alias("x"),
-                F.greatest("own", "facing").alias("y"))
-    known = classes.select("sid", "n", "sketch")
-    dealt = cells.join(known, "sid").repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+    return materialise(labelled.join(open_, "sig").withColumn("blocks", blocks).withColumn("own", own)
+                       .withColumn("facing", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                       .select("sig", "m", "sid", "root", "own", F.least("own", "facing").alias("x"),
+                               F.greatest("own", "facing").alias("y")), "cells")
+
+
+def by_cell(rows: DataFrame, *columns: str) -> DataFrame:
+    """The members of a cell in one task, one after another."""
+    return rows.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y").select("sig", "x", "y", *columns)
+
+
+def _cells(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[tuple, list[list]]]:
+    """Each cell's key and columns, out of batches sorted by cell."""
+    held, key = [], None
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("sig", "x", "y")), strict=True)
+        for new, row in zip(keys, zip(*(batch.column(c).to_pylist() for c in names), strict=True), strict=True):
+            if new != key:
+                if held:
+                    yield key, [list(c) for c in zip(*held, strict=True)]
+                key, held = new, []
+            held.append(row)
+    if held:
+        yield key, [list(c) for c in zip(*held, strict=True)]
+
+
+def open_pairs(scheme: Scheme, n: np.ndarray, root: np.ndarray, own: np.ndarray, sketches: list[bytes],
+               facing: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member's place, and the later ones of other components that size and sketch leave open.
 
+    ``root`` may change between two members.
+    """
+    size = min(map(len, sketches))
+    bits = np.stack([folded(np.frombuffer(s, np.uint8), size) for s in sketches])
+    for i in range(len(n) - 1):
+        d = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        ok = scheme.may_link(n[i], n[i + 1:], d) & (root[i + 1:] != root[i])
+        if facing:  # pairs within a block belong to the block's own cell
+            ok &= own[i + 1:] != own[i]
+        found = np.flatnonzero(ok) + i + 1
+        if len(found):
+            yield i, found
+
+
+def rest_pairs(cells: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a signature of few sets and pass size and sketch.
+
+    A member has fewer than ``LARGE`` partners in such a group.
+    """
     def rows(batches):
         scheme = Scheme(percent)
-        held: dict[str, list] = {}
-        key = None
-
-        def pairs():
-            n, root, own = (np.array(held[c]) for c in ("n", "root", "own"))
-            sid = np.array(held["sid"])
-            size = min(len(s) for s in held["sketch"])
-            bits = np.stack([folded(np.frombuffer(s, np.uint8), size) for s in held["sketch"]])
-            facing = key[1] != key[2]
-            a, b = [], []
-            for i in range(len(n) - 1):
-                d = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                ok = scheme.may_link(n[i], n[i + 1:], d) & (root[i + 1:] != root[i])
-                if facing:  # pairs within a block belong to the block's own cell
-                    ok &= own[i + 1:] != own[i]
-                found = np.flatnonzero(ok) + i + 1
-                a.append(np.minimum(sid[i], sid[found]))
-                b.append(np.maximum(sid[i], sid[found]))
-            if a:
+        for key, (sid, root, own, n, sketches) in _cells(batches, "sid", "root", "own", "n", "sketch"):
+            sid = np.array(sid)
+            pairs = [(np.minimum(sid[i], sid[found]), np.maximum(sid[i], sid[found])) for i, found in open_pairs(
+                scheme, np.array(n), np.array(root), np.array(own), sketches, key[1] != key[2])]
+            if pairs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(a), pa.int64()), pa.array(np.concatenate(b), pa.int64())],
-                    schema=PAIR_ARROW)
-
-        names = ("sid", "root", "own", "n", "sketch")
-        for batch in batches:
-            columns = {c: batch.column(c).to_pylist() for c in (*names, "sig", "x", "y")}
-            for i, new in enumerate(zip(columns["sig"], columns["x"], columns["y"], strict=True)):
-                if new != key:
-                    if key is not None:
-                        yield from pairs()
-                    key, held = new, {c: [] for c in names}
-                for c in names:
-                    held[c].append(columns[c][i])
-        if key is not None:
-            yield from pairs()
-
-    return dealt.select("sig", "x", "y", "sid", "root", "own", "n", "sketch") \
-        .mapInArrow(rows, "a long, b long").distinct()
+                    [pa.array(np.concatenate(c)) for c in zip(*pairs, strict=True)], schema=PAIR_ARROW)
+
+    few = cells.where(F.col("m") < LARGE).join(classes.select("sid", "n", "sketch"), "sid")
+    return by_cell(few, "sid", "root", "own", "n", "sketch").mapInArrow(rows, "a long, b long").distinct()
+
+
+def spanning(scheme: Scheme, sid: np.ndarray, root: np.ndarray, own: np.ndarray, sets_: list[np.ndarray],
+             facing: bool) -> tuple[list[int], list[int]]:
+    """Links between members of a cell, one for each component that they join to another.
+
+    All open pairs are compared by their whole sets but those that earlier links
+    connect, so that there are fewer links than components.
+    """
+    n = np.array([len(s) for s in sets_])
+    starts = np.concatenate([[0], np.cumsum(n)])
+    values, number = np.unique(np.concatenate(sets_), return_inverse=True)
+    numbers = [number[starts[i]:starts[i + 1]] for i in range(len(n))]
+    held, root = np.zeros(len(values), np.int64), root.copy()
+    a, b = [], []
+    for i, found in open_pairs(scheme, n, root, own, [scheme.sketch(s) for s in sets_], facing):
+        held[numbers[i]] = 1
+        edges = np.concatenate([[0], np.cumsum(n[found])[:-1]])
+        common = np.add.reduceat(held[np.concatenate([numbers[j] for j in found])], edges)
+        held[numbers[i]] = 0
+        links = found[100 * common >= scheme.percent * (n[i] + n[found] - common)]
+        if len(links):
+            joined, first = np.unique(root[links], return_index=True)
+            a += [int(sid[i])] * len(joined)
+            b += sid[links[first]].tolist()
+            root[np.isin(root, joined)] = root[i]
+    return a, b
+
+
+def rest_links(cells: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int,
+               id_column: str, text_column: str) -> DataFrame:
+    """Links that join the components within groups of ``LARGE`` members and more; a written table.
+
+    Tasks first mark the members that size and sketch leave a partner in their
+    cell. Those get their whole sets and are compared right there. So neither
+    step has more rows than members, however many pairs there are.
+    """
+    def marks(batches):
+        scheme = Scheme(percent)
+        for key, (sid, root, own, n, sketches) in _cells(batches, "sid", "root", "own", "n", "sketch"):
+            marked = np.zeros(len(n), bool)
+            for i, found in open_pairs(scheme, np.array(n), np.array(root), np.array(own), sketches, key[1] != key[2]):
+                marked[i] = marked[found] = True
+            kept = np.flatnonzero(marked)
+            if len(kept):
+                columns = [np.full(len(kept), k) for k in key] + [np.array(c)[kept] for c in (sid, root, own)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, MARK_ARROW.types, strict=True)],
+                                                 schema=MARK_ARROW)
+
+    def rows(batches):
+        scheme = Scheme(percent)
+        for key, (sid, root, own, features) in _cells(batches, "sid", "root", "own", "features"):
+            a, b = spanning(scheme, np.array(sid), np.array(root), np.array(own),
+                            [np.frombuffer(f, U64) for f in features], key[1] != key[2])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=PAIR_ARROW)
+
+    many = cells.where(F.col("m") >= LARGE).join(classes.select("sid", "n", "sketch"), "sid")
+    marked = materialise(by_cell(many, "sid", "root", "own", "n", "sketch").mapInArrow(marks, MARK), "marked")
+    held = features_of(marked.select("sid").distinct(), docs, classes, width, id_column, text_column)
+    whole = marked.join(held, "sid")
+    return materialise(by_cell(whole, "sid", "root", "own", "features").mapInArrow(rows, "a long, b long")
+                       .distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id",
@@ -545,9 +634,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     if stars:
         links = reduce(DataFrame.unionByName, stars, links)
         roots = components(links)
-    rest = rest_pairs(groups, roots, classes, percent)
-    more = verified(rest, docs, classes, width, percent, id_column, text_column)
-    roots = components(links.unionByName(more))
+    cells = open_cells(groups, roots, classes)
+    more = verified(rest_pairs(cells, classes, percent), docs, classes, width, percent, id_column, text_column)
+    joined = rest_links(cells, docs, classes, width, percent, id_column, text_column)
+    roots = components(links.unionByName(more).unionByName(joined))
     ids = classes.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "least", F.coalesce("root", "sid").alias("root"))
     labels = ids.groupBy("root").agg(F.min("least").alias("component_id"))
