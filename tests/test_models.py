@@ -1,4 +1,5 @@
 import random
+from contextlib import nullcontext
 
 import numpy as np
 import pytest
@@ -230,6 +231,31 @@ def test_true_elimination_drops_step_by_step(linear):
     assert [r.feature for r in ranked.collect()][0] == "minutes"
 
 
+def test_merged_importance_eliminates_and_attributes(spark, linear, monkeypatch):
+    """Features are dropped one by one, each fit on those left, and Shapley values are merged, too."""
+    from tripengine.plans import queries_models as q
+
+    pipeline, names = encode.importance_inputs(CATEGORICAL, NUMERIC, "fare")
+    df = pipeline.fit(linear).transform(linear).select("features", "fare", *names)
+    fitted, made = [], importance.forest_importance
+
+    def forest(df, names, label, features="features", trees=50, **params):
+        fitted.append((list(names), trees))
+        return made(df, names, label, features, 3, **params)
+
+    monkeypatch.setattr(importance, "forest_importance", forest)
+    monkeypatch.setattr(q, "importance_frame", lambda *a: nullcontext((df, names)))
+    monkeypatch.setattr(q, "LABEL", "fare")
+    found = q.imp_06(spark, None).collect()
+    left = [set(n) for n, trees in fitted if trees == 30]
+    assert [len(n) for n in left] == [4, 3, 2, 1] and all(b < a for a, b in zip(left, left[1:]))
+    assert left[-1] == {"minutes"} and {r.feature for r in found} == set(names)
+    scores = {r.feature: r.attribution_importance for r in found}
+    assert sum(scores.values()) == pytest.approx(1) and max(scores, key=scores.get) == "minutes"
+    columns = [*importance.RANKINGS, "attribution_importance"]
+    assert found[0].average_importance == pytest.approx(np.mean([found[0][c] for c in columns]), abs=1e-4)
+
+
 def test_permutation_uses_the_whole_frame_in_small_buckets(linear):
     pipeline, names = encode.importance_inputs([], ["minutes", "people"], "fare")
     df = pipeline.fit(linear).transform(linear)
